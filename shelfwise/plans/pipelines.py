@@ -1,0 +1,134 @@
+"""The nine pipelines: each turns its tables into a one-row result record.
+
+Column names are those of the result records. Records are DataFrames; save one
+with ``shelfwise.sources.catalog.save_record``.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from shelfwise.functions.cleaning import valid_number
+from shelfwise.functions.text import space_tokens
+from shelfwise.operators.attach import DEFAULT_SKEW, Skew
+from shelfwise.operators.embedding import fit_embedding, nearest
+from shelfwise.operators.encode import fit_index, fit_onehot, fit_pca, vector_mean
+from shelfwise.operators.flatten import flatten_category_and_rank
+from shelfwise.operators.impute import MEDIAN_ACCURACY, impute_number, impute_text
+from shelfwise.operators.neighbours import attach_neighbour_price
+from shelfwise.operators.profile import profile
+from shelfwise.operators.rollup import attach_rating
+from shelfwise.operators.trees import choose_depth, kept, rmse, tree_rmse
+
+
+def warmup_profile(product: DataFrame, skip_nan: bool = False) -> DataFrame:
+    """count_total, mean_price; one NaN makes the mean NaN unless ``skip_nan``."""
+    price = valid_number("price") if skip_nan else F.col("price")
+    return profile(product.select(price.alias("price")), means=["price"])
+
+
+def rating_profile(review: DataFrame, product: DataFrame, skew: Skew = DEFAULT_SKEW) -> DataFrame:
+    """Statistics of meanRating and countRating over all products."""
+    columns = ["meanRating", "countRating"]
+    rated = attach_rating(product.select("asin"), review, skew=skew)
+    return profile(rated, means=columns, variances=columns, nulls=columns)
+
+
+def category_profile(product: DataFrame) -> DataFrame:
+    """Statistics of bestSalesRank, category and bestSalesCategory."""
+    labels = ["category", "bestSalesCategory"]
+    return profile(
+        flatten_category_and_rank(product),
+        means=["bestSalesRank"],
+        variances=["bestSalesRank"],
+        nulls=labels,
+        distincts=labels,
+    )
+
+
+def neighbour_profile(product: DataFrame, skip_nan: bool = False, skew: Skew = DEFAULT_SKEW) -> DataFrame:
+    """Statistics of meanPriceAlsoViewed and countAlsoViewed."""
+    columns = ["meanPriceAlsoViewed", "countAlsoViewed"]
+    priced = attach_neighbour_price(product, skip_nan=skip_nan, skew=skew)
+    return profile(priced, means=columns, variances=columns, nulls=columns)
+
+
+def impute_profile(product: DataFrame, accuracy: int = MEDIAN_ACCURACY) -> DataFrame:
+    """Statistics of both imputed prices, and the number of unknown titles."""
+    columns = ["meanImputedPrice", "medianImputedPrice"]
+    imputed = impute_text(impute_number(product.select("price", "title"), accuracy=accuracy))
+    return profile(
+        imputed,
+        means=columns,
+        variances=columns,
+        nulls=columns,
+        matches={"numUnknowns_unknownImputedTitle": ("unknownImputedTitle", "unknown")},
+    )
+
+
+def title_embedding(
+    processed: DataFrame,
+    words: Sequence[str],
+    seed: int,
+    k: int = 10,
+    on_missing: str = "skip",
+    **fit_options: int,
+) -> DataFrame:
+    """count_total, size_vocabulary, and per word its nearest ``k``.
+
+    ``word_<i>_synonyms`` is an array of (word, similarity), best first.
+    """
+    tokens = processed.select(space_tokens("title").alias("titleArray"))
+    vectors = fit_embedding(tokens, "titleArray", "titleVector", seed, **fit_options).getVectors()
+    found = nearest(vectors, words, k, on_missing=on_missing)
+    synonym = F.struct("rank", "word", "similarity")
+    per_word = [
+        F.transform(
+            F.array_sort(F.collect_list(F.when(F.col("query") == word, synonym))),
+            lambda s: F.struct(s["word"].alias("word"), s["similarity"].alias("similarity")),
+        ).alias(f"word_{i}_synonyms")
+        for i, word in enumerate(words)
+    ]
+    lists = found.agg(F.struct(*per_word).alias("lists"))
+    size = vectors.agg(F.count("*").alias("n"))
+    record = processed.agg(F.count("*").alias("count_total"))
+    return record.withColumns({"size_vocabulary": size.scalar(), "lists": lists.scalar()}).select(
+        "count_total", "size_vocabulary", "lists.*"
+    )
+
+
+def category_encoding(processed: DataFrame, k: int = 15) -> DataFrame:
+    """count_total and the mean indicator and mean component vectors.
+
+    The projection is linear and not centred, so the mean of the projected
+    rows is the projected mean row: only one vector is projected.
+    """
+    with kept(processed.select("category")) as (category,):
+        indexed = fit_index(category, "category", "categoryIndex").transform(category)
+        encoded = fit_onehot(indexed, "categoryIndex", "categoryOneHot").transform(indexed)
+        components = fit_pca(encoded, "categoryOneHot", "categoryPCA", k)
+    means = components.transform(vector_mean(encoded, categoryOneHot="categoryOneHot"))
+    return means.select(
+        "count_total",
+        vector_to_array("categoryOneHot").alias("meanVector_categoryOneHot"),
+        vector_to_array("categoryPCA").alias("meanVector_categoryPCA"),
+    )
+
+
+def tree_baseline(train: DataFrame, test: DataFrame, seed: int) -> DataFrame:
+    """test_rmse of a tree of depth 5."""
+    return tree_rmse(train, test, seed)
+
+
+def depth_selection(
+    train: DataFrame, test: DataFrame, keys: Sequence[str], seed: int, **options: object
+) -> DataFrame:
+    """test_rmse of the chosen tree, and valid_rmse_depth_<d> per depth."""
+    choice = choose_depth(train, keys, seed, **options)
+    scored = choice.model.transform(test.select("features", "overall"))
+    errors = {f"valid_rmse_depth_{d}": F.lit(e) for d, e in choice.errors.items()}
+    return rmse(scored, "overall", name="test_rmse").withColumns(errors)
