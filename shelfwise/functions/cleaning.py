@@ -35,3 +35,8 @@ def valid_number(number: str | Column) -> Column:
     """The number, with NaN read as null."""
     column = _as_column(number)
     return F.when(~F.isnan(column), column)
+
+
+def fill_if_missing(number: str | Column, fill: Column) -> Column:
+    """The number as a double, with null and NaN replaced by ``fill``."""
+    return F.coalesce(valid_number(number).cast("double"), fill)

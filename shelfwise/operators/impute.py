@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.functions.cleaning import text_or, to_float, valid_number
+from shelfwise.functions.cleaning import fill_if_missing, text_or, to_float, valid_number
 
 # 1 / accuracy is the relative rank error of the median.
 MEDIAN_ACCURACY = 1000
@@ -27,11 +27,6 @@ def fill_values(df: DataFrame, number: str, accuracy: int = MEDIAN_ACCURACY) ->
     )
 
 
-def fill_number(number: str | Column, fill: Column) -> Column:
-    """``number`` as a double, with null and NaN replaced by ``fill``."""
-    return F.coalesce(valid_number(number).cast("double"), fill)
-
-
 def impute_number(
     df: DataFrame,
     number: str = "price",
@@ -49,8 +44,8 @@ def impute_number(
     return df.withColumns(
         {
             number: as_float,
-            mean_name: fill_number(as_float, fills.getField("mean")),
-            median_name: fill_number(as_float, fills.getField("median")),
+            mean_name: fill_if_missing(as_float, fills.getField("mean")),
+            median_name: fill_if_missing(as_float, fills.getField("median")),
         }
     )
 

@@ -22,7 +22,7 @@ from shelfwise.operators.impute import MEDIAN_ACCURACY, impute_number, impute_te
 from shelfwise.operators.neighbours import attach_neighbour_price
 from shelfwise.operators.profile import profile
 from shelfwise.operators.rollup import attach_rating
-from shelfwise.operators.trees import choose_depth, kept, rmse, tree_rmse
+from shelfwise.operators.trees import choose_depth, rmse, tree_rmse
 
 
 def warmup_profile(product: DataFrame, skip_nan: bool = False) -> DataFrame:
@@ -105,12 +105,14 @@ def category_encoding(processed: DataFrame, k: int = 15) -> DataFrame:
     """count_total and the mean indicator and mean component vectors.
 
     The projection is linear and not centred, so the mean of the projected
-    rows is the projected mean row: only one vector is projected.
+    rows is the projected mean row: only one vector is projected. The fits and
+    the mean each read the category column alone, which costs less than
+    keeping the encoded rows.
     """
-    with kept(processed.select("category")) as (category,):
-        indexed = fit_index(category, "category", "categoryIndex").transform(category)
-        encoded = fit_onehot(indexed, "categoryIndex", "categoryOneHot").transform(indexed)
-        components = fit_pca(encoded, "categoryOneHot", "categoryPCA", k)
+    category = processed.select("category")
+    indexed = fit_index(category, "category", "categoryIndex").transform(category)
+    encoded = fit_onehot(indexed, "categoryIndex", "categoryOneHot").transform(indexed)
+    components = fit_pca(encoded, "categoryOneHot", "categoryPCA", k)
     means = components.transform(vector_mean(encoded, categoryOneHot="categoryOneHot"))
     return means.select(
         "count_total",

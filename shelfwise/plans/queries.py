@@ -33,7 +33,7 @@ VALID_SPLIT = [0.75, 0.25]
 # Fine enough that the median is exact on the test tables.
 EXACT_MEDIAN = 10_000
 LOOKUP_ASIN = 100
-QUERY_WORDS = ["data", "river", "market"]
+QUERY_WORDS = ["and", "der", "de"]
 QUERY_VECTORS = [3, 141, 414]
 
 

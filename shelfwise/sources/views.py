@@ -11,8 +11,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+# The columns in use; declaring them saves a job per table to infer them.
+COLUMNS = {
+    "lineitem": "l_partkey bigint, l_linenumber int, l_quantity double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "documents": "doc_id bigint, text string",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(COLUMNS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def review(spark: SparkSession, sf_dir: str) -> DataFrame:
