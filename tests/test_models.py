@@ -1,0 +1,259 @@
+"""Embeddings, encodings, splits and trees: invariants and edge cases."""
+
+import math
+
+import numpy as np
+import pytest
+from helpers import close, record, rows
+from pyspark.ml.evaluation import RegressionEvaluator
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.regression import DecisionTreeRegressor
+from pyspark.sql import functions as F
+
+from shelfwise.functions.text import space_tokens
+from shelfwise.operators.embedding import fit_embedding, nearest, vocabulary
+from shelfwise.operators.encode import fit_index, fit_onehot, fit_pca, vector_mean, vector_rows
+from shelfwise.operators.split import assign_split, hash_split
+from shelfwise.operators.trees import choose_depth, kept, rmse, tree_rmse
+from shelfwise.plans import pipelines
+from shelfwise.plans.queries import QUERY_WORDS
+from shelfwise.sources import views
+
+
+# --- words ---------------------------------------------------------------
+
+
+@pytest.fixture(scope="module")
+def tokens(spark, sf_dir):
+    return views.titles(spark, sf_dir).select(space_tokens("title").alias("words"))
+
+
+@pytest.fixture(scope="module")
+def embedding(tokens):
+    return fit_embedding(tokens, "words", "vector", seed=1, num_partitions=1)
+
+
+def test_vocabulary_is_that_of_the_model(tokens, embedding):
+    assert rows(vocabulary(tokens, "words").select("word")) == rows(embedding.getVectors().select("word"))
+
+
+def test_one_partition_fits_the_same_again(tokens, embedding):
+    again = fit_embedding(tokens, "words", "vector", seed=1, num_partitions=1)
+    assert rows(again.getVectors()) == rows(embedding.getVectors())
+
+
+def test_vector_size(embedding):
+    assert len(embedding.getVectors().first()["vector"]) == 16
+
+
+def test_nearest_agrees_with_single_lookups(embedding):
+    found = nearest(embedding.getVectors(), QUERY_WORDS, 10).collect()
+    assert len(found) == 10 * len(QUERY_WORDS)
+    for word in QUERY_WORDS:
+        ours = sorted((r["rank"], r["word"], r["similarity"]) for r in found if r["query"] == word)
+        single = embedding.findSynonyms(word, 10).collect()
+        assert [w for _, w, _ in ours] == [r["word"] for r in single]
+        assert all(close(s, r["similarity"], 1e-5) for (_, _, s), r in zip(ours, single))
+
+
+def test_missing_query_word(embedding):
+    vectors = embedding.getVectors()
+    assert nearest(vectors, ["no such word"]).count() == 0
+    with pytest.raises(ValueError, match="no such word"):
+        nearest(vectors, ["no such word", "and"], on_missing="error")
+    assert nearest(vectors, ["and"], on_missing="error").count() == 10
+    with pytest.raises(ValueError):
+        nearest(vectors, ["and"], on_missing="ignore")
+
+
+def test_nearest_on_arrays(spark):
+    vectors = spark.createDataFrame(
+        [("x", [1.0, 0.0]), ("y", [2.0, 0.0]), ("z", [0.0, 3.0]), ("w", [-1.0, 0.0]), ("o", [0.0, 0.0]), ("v", [5.0, 0.0])],
+        "word string, vector array<float>",
+    )
+    assert rows(nearest(vectors, ["x", "x"], 4), "rank") == [
+        ("x", 1, "v", 1.0),
+        ("x", 2, "y", 1.0),
+        ("x", 3, "o", 0.0),
+        ("x", 4, "z", 0.0),
+    ]
+    assert nearest(vectors, []).count() == 0
+
+
+def test_null_token_list_fails(spark):
+    with_null = spark.sql("select array('a') as words union all select cast(null as array<string>)")
+    with pytest.raises(Exception):
+        fit_embedding(with_null, "words", "vector", seed=1, min_count=1)
+
+
+def test_title_embedding_record(spark, sf_dir, tokens):
+    found = record(pipelines.title_embedding(views.titles(spark, sf_dir), QUERY_WORDS[:2] + ["no such word"], 1))
+    assert found["count_total"] == tokens.count()
+    assert found["size_vocabulary"] == vocabulary(tokens, "words").count()
+    first = found["word_0_synonyms"]
+    assert len(first) == 10 and len(found["word_1_synonyms"]) == 10
+    assert [s["similarity"] for s in first] == sorted((s["similarity"] for s in first), reverse=True)
+    assert found["word_2_synonyms"] == []
+
+
+# --- categories ----------------------------------------------------------
+
+
+def test_index_order(spark):
+    items = spark.createDataFrame([("b",), ("a",), ("c",), ("c",), ("",)], "category string")
+    indexed = fit_index(items, "category", "i").transform(items)
+    assert rows(indexed.distinct()) == [("", 1.0), ("a", 2.0), ("b", 3.0), ("c", 0.0)]
+
+
+def test_index_of_null_and_unseen(spark):
+    items = spark.createDataFrame([("a",), (None,)], "category string")
+    with pytest.raises(Exception):
+        fit_index(items, "category", "i").transform(items).collect()
+    kept_rows = fit_index(items, "category", "i", handle_invalid="keep").transform(items)
+    assert rows(kept_rows.select("i")) == [(0.0,), (1.0,)]
+    unseen = spark.createDataFrame([("z",)], "category string")
+    with pytest.raises(Exception):
+        fit_index(items, "category", "i").transform(unseen).collect()
+
+
+@pytest.fixture(scope="module")
+def encoded(spark, sf_dir):
+    items = views.categories(spark, sf_dir)
+    indexed = fit_index(items, "category", "i").transform(items)
+    return fit_onehot(indexed, "i", "hot").transform(indexed)
+
+
+def test_onehot_keeps_every_level(encoded):
+    width = encoded.select("category").distinct().count()
+    assert len(encoded.first()["hot"]) == width
+    shares = [r["value"] for r in vector_rows(vector_mean(encoded, hot="hot"), "hot").orderBy("position").collect()]
+    assert close(sum(shares), 1.0)
+    assert shares == sorted(shares, reverse=True)
+
+
+def test_mean_of_projection_is_projection_of_mean(spark, sf_dir, encoded):
+    model = fit_pca(encoded, "hot", "pca", 15)
+    means = vector_mean(model.transform(encoded), hot="hot", pca="pca").first()
+    expected = model.pc.toArray().T @ means["hot"].toArray()
+    assert np.allclose(means["pca"].toArray(), expected, atol=1e-12)
+
+    found = record(pipelines.category_encoding(views.categories(spark, sf_dir)))
+    assert found["count_total"] == encoded.count()
+    assert np.allclose(found["meanVector_categoryOneHot"], means["hot"].toArray(), atol=1e-12)
+    assert np.allclose(np.abs(found["meanVector_categoryPCA"]), np.abs(expected), atol=1e-9)
+
+
+def test_components_are_orthonormal(encoded):
+    axes = fit_pca(encoded, "hot", "pca", 15).pc.toArray()
+    assert np.allclose(axes.T @ axes, np.eye(15), atol=1e-9)
+
+
+def test_more_components_than_levels_fails(spark, sf_dir):
+    with pytest.raises(Exception):
+        pipelines.category_encoding(views.categories(spark, sf_dir, "p_type"), k=15)
+
+
+# --- splits and trees ----------------------------------------------------
+
+
+@pytest.mark.parametrize("digest", ["xxhash64", "md5"])
+def test_split_is_repeatable_and_whole(spark, digest):
+    ids = spark.range(0, 20_000, 1, 3)
+    parts = hash_split(ids, ["id"], [3, 1], 5, digest)
+    again = hash_split(ids.repartition(7), ["id"], [3, 1], 5, digest)
+    assert [rows(p) for p in parts] == [rows(p) for p in again]
+    sizes = [p.count() for p in parts]
+    assert sum(sizes) == 20_000
+    assert abs(sizes[0] / 20_000 - 0.75) < 0.02
+    other_seed = hash_split(ids, ["id"], [3, 1], 6, digest)
+    assert rows(other_seed[0]) != rows(parts[0])
+
+
+def test_split_weights(spark):
+    ids = spark.range(0, 30_000)
+    sizes = {r[0]: r[1] for r in assign_split(ids, ["id"], [0.2, 0.3, 0.5], 1).groupBy("split").count().collect()}
+    assert sorted(sizes) == [0, 1, 2]
+    assert all(abs(sizes[i] / 30_000 - w) < 0.02 for i, w in enumerate([0.2, 0.3, 0.5]))
+
+
+def test_split_digest_name(spark):
+    with pytest.raises(ValueError):
+        assign_split(spark.range(1), ["id"], [1, 1], 1, digest="crc")
+
+
+def test_split_by_feature_vector(spark, sf_dir):
+    features = views.ml_features(spark, sf_dir).drop("vec_id")
+    first, second = hash_split(features, ["features", "overall"], [0.75, 0.25], 3)
+    assert first.count() + second.count() == features.count()
+    assert 0 < second.count() < first.count()
+
+
+@pytest.fixture(scope="module")
+def tables(spark, sf_dir):
+    return hash_split(views.ml_features(spark, sf_dir), ["vec_id"], [0.8, 0.2], 3)
+
+
+def test_rmse_equals_evaluator(tables):
+    train, test = tables
+    model = DecisionTreeRegressor(labelCol="overall", maxDepth=5, seed=2).fit(train)
+    scored = model.transform(test)
+    expected = RegressionEvaluator(labelCol="overall", metricName="rmse").evaluate(scored)
+    assert close(record(rmse(scored, "overall"))["rmse"], expected, 1e-12)
+    assert close(record(pipelines.tree_baseline(train, test, 2))["test_rmse"], expected, 1e-12)
+    assert record(rmse(scored.limit(0), "overall"))["rmse"] is None
+
+
+def test_depth_choice_fits_on_the_split_only(tables):
+    train, test = tables
+    choice = choose_depth(train, ["vec_id"], 2)
+    fitting, validation = hash_split(train, ["vec_id"], [0.75, 0.25], 2)
+    evaluator = RegressionEvaluator(labelCol="overall", metricName="rmse")
+    for depth in (5, 7, 9, 12):
+        model = DecisionTreeRegressor(labelCol="overall", maxDepth=depth, seed=2).fit(fitting)
+        assert close(choice.errors[depth], evaluator.evaluate(model.transform(validation)), 1e-9)
+        assert choice.models[depth].getMaxDepth() == depth
+        if depth == choice.depth:
+            expected = evaluator.evaluate(model.transform(test))
+    assert choice.errors[choice.depth] == min(choice.errors.values())
+    found = record(pipelines.depth_selection(train, test, ["vec_id"], 2))
+    assert close(found["test_rmse"], expected, 1e-9)
+    assert all(close(found[f"valid_rmse_depth_{d}"], e) for d, e in choice.errors.items())
+
+
+def test_depth_tie_takes_the_shallower(spark):
+    points = spark.range(0, 400).select(
+        "id",
+        array_to_vector(F.array((F.col("id") % 2).cast("double"))).alias("features"),
+        (F.col("id") % 2).cast("double").alias("overall"),
+    )
+    choice = choose_depth(points, ["id"], 1, depths=[4, 2, 3])
+    assert choice.errors == {2: 0.0, 3: 0.0, 4: 0.0}
+    assert choice.depth == 2
+
+
+def test_empty_validation_part(spark):
+    one_key = spark.range(0, 10).select(
+        F.lit(1).alias("k"), array_to_vector(F.array(F.lit(1.0))).alias("features"), F.lit(1.0).alias("overall")
+    )
+    seed = next(s for s in range(100) if hash_split(one_key, ["k"], [0.75, 0.25], s)[1].isEmpty())
+    with pytest.raises(ValueError):
+        choose_depth(one_key, ["k"], seed, depths=[1])
+
+
+def test_null_label_fails(spark):
+    points = spark.sql("select cast(null as double) as overall, 1 as x").withColumn(
+        "features", array_to_vector(F.array(F.lit(1.0)))
+    )
+    with pytest.raises(Exception):
+        tree_rmse(points, points, 1)
+
+
+def test_kept_tables_are_released(spark):
+    table = spark.range(10)
+    with kept(table) as (same,):
+        assert same.is_cached
+    assert not table.is_cached
+    with pytest.raises(RuntimeError), kept(table):
+        raise RuntimeError
+    assert not table.is_cached
+    assert not math.isnan(table.count())
