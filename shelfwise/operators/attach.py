@@ -33,7 +33,7 @@ class Skew:
 
     rows_per_task: int = 4_000_000
     max_hot_keys: int = 10_000
-    check_over_bytes: int = 1 << 30
+    check_over_bytes: int = 64 << 20
 
 
 DEFAULT_SKEW = Skew()
