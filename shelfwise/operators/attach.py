@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shelfwise.operators.sizes import estimated_bytes
+
 _PART, _PARTS = "__part", "__parts"
 
 
@@ -39,11 +41,6 @@ class Skew:
 DEFAULT_SKEW = Skew()
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Spark's own estimate of the size of ``df``, as used for its joins."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-
-
 def hot_keys(df: DataFrame, key: str, skew: Skew = DEFAULT_SKEW) -> list[Row]:
     """(key, parts) of the hottest keys, null included; at most ``max_hot_keys``.
 

@@ -1,0 +1,29 @@
+"""Size estimates, and spreading small tables over the cores."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+
+# Below this size per part a table is worth spreading for heavy per-row work.
+SPREAD_BELOW_BYTES = 32 << 20
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """Spark's own estimate of the size of ``df``, as used for its joins."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
+def cores(df: DataFrame) -> int:
+    return df.sparkSession.sparkContext.defaultParallelism
+
+
+def select_spread(df: DataFrame, column: str | Column, parts: int) -> DataFrame:
+    """``column`` of ``df``, computed in ``parts`` tasks if ``df`` is small.
+
+    A table that is small for so many cores may sit in one row group, hence in
+    one task, so it is shuffled first (only what ``column`` needs of it). A
+    large table has tasks enough and is read where it lies.
+    """
+    if parts > 1 and estimated_bytes(df.select(column)) < parts * SPREAD_BELOW_BYTES:
+        df = df.repartition(parts)
+    return df.select(column)

@@ -82,8 +82,8 @@ def title_embedding(
 
     ``word_<i>_synonyms`` is an array of (word, similarity), best first.
     """
-    tokens = processed.select(space_tokens("title").alias("titleArray"))
-    vectors = fit_embedding(tokens, "titleArray", "titleVector", seed, **fit_options).getVectors()
+    tokens = space_tokens("title").alias("titleArray")
+    vectors = fit_embedding(processed, tokens, "titleVector", seed, **fit_options).getVectors()
     found = nearest(vectors, words, k, on_missing=on_missing)
     synonym = F.struct("rank", "word", "similarity")
     per_word = [

@@ -110,18 +110,17 @@ def price_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tokens_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tokens = views.titles(spark, sf_dir).select(space_tokens("title").alias("titleArray"))
-    return vocabulary(tokens, "titleArray")
+    return vocabulary(views.titles(spark, sf_dir), space_tokens("title"))
 
 
 def embedding_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tokens = views.titles(spark, sf_dir).select(space_tokens("title").alias("titleArray"))
-    return fit_embedding(tokens, "titleArray", "titleVector", SEED).getVectors().select("word")
+    tokens = space_tokens("title").alias("titleArray")
+    return fit_embedding(views.titles(spark, sf_dir), tokens, "titleVector", SEED).getVectors().select("word")
 
 
 def nearest_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tokens = views.titles(spark, sf_dir).select(space_tokens("title").alias("titleArray"))
-    model = fit_embedding(tokens, "titleArray", "titleVector", SEED)
+    tokens = space_tokens("title").alias("titleArray")
+    model = fit_embedding(views.titles(spark, sf_dir), tokens, "titleVector", SEED)
     return rounded(nearest(model.getVectors(), QUERY_WORDS), "similarity")
 
 

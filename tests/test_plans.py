@@ -5,9 +5,13 @@ import re
 import pytest
 from helpers import plan
 
+from shelfwise.functions.text import space_tokens
+from shelfwise.operators import sizes
 from shelfwise.operators.attach import Skew, attach
-from shelfwise.plans.queries import QUERIES, preview
+from shelfwise.operators.embedding import vocabulary
+from shelfwise.plans.queries import QUERIES
 from shelfwise.sources import views
+from shelfwise.sources.catalog import preview
 
 
 @pytest.fixture(scope="module")
@@ -55,10 +59,26 @@ def test_lookup_is_pushed_to_the_scan(plans):
     assert "EqualTo(p_partkey,100)" in plans["price_lookup"]
 
 
-def test_vocabulary_combines_before_the_shuffle(plans):
-    text = plans["tokens_vocabulary"]
+def exchanges(text):
+    return re.findall(r"^\(\d+\) Exchange", text, re.M)
+
+
+def test_vocabulary_combines_before_the_shuffle(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(sizes, "SPREAD_BELOW_BYTES", 0)
+    text = plan(QUERIES["tokens_vocabulary"](spark, sf_dir))
     assert "partial_count" in text
-    assert text.count("Exchange (") <= 2
+    assert len(exchanges(text)) == 1
+    assert text.count("split(") == 1  # not once more in a filter
+
+
+def test_listed_tokens_are_split_once(spark, sf_dir):
+    tokens = views.titles(spark, sf_dir).select(space_tokens("title").alias("words"))
+    assert plan(vocabulary(tokens, "words")).count("split(") == 1
+
+
+def test_small_text_is_spread_with_its_one_column(plans):
+    assert len(exchanges(plans["tokens_vocabulary"])) == 2
+    assert "RoundRobinPartitioning" in plans["tokens_vocabulary"]
 
 
 def test_ranking_limits_before_the_shuffle(plans):
@@ -68,14 +88,14 @@ def test_ranking_limits_before_the_shuffle(plans):
 def test_rating_rollup_shuffles_once_per_side(spark, sf_dir, no_broadcast):
     text = plan(QUERIES["rating_rollup"](spark, sf_dir))
     assert "SortMergeJoin" in text
-    assert len(re.findall(r"^\(\d+\) Exchange", text, re.M)) == 2
+    assert len(exchanges(text)) == 2
 
 
 def test_neighbour_profile_shuffles(spark, sf_dir, no_broadcast):
     """Edges, values, means and items by key, and one row per task at the end."""
     text = plan(QUERIES["neighbour_price"](spark, sf_dir))
     main = text.split("===== Subqueries")[0]
-    assert len(re.findall(r"^\(\d+\) Exchange", main, re.M)) == 4
+    assert len(exchanges(main)) == 4
 
 
 def test_skew_check_reads_only_large_tables(spark, sf_dir):
