@@ -2,5 +2,5 @@
 
 Every step takes DataFrames and returns a DataFrame (or a fitted
 ``pyspark.ml`` model), uses built-in expressions only, and holds under ANSI
-mode. ``shelfwise.plans.pipelines`` strings the steps together.
+mode. ``shelfwise.plans.records`` strings the steps together.
 """

@@ -1 +1 @@
-"""Pipelines, and the queries that check them."""
+"""Result records, and the queries that check the steps behind them."""

@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,7 +23,7 @@ from shelfwise.operators.neighbours import attach_neighbour_price
 from shelfwise.operators.rollup import attach_rating, mean_and_count
 from shelfwise.operators.split import assign_split, hash_split
 from shelfwise.operators.trees import choose_depth, rmse, tree_rmse
-from shelfwise.plans import pipelines
+from shelfwise.plans import records
 from shelfwise.sources import views
 from shelfwise.sources.catalog import preview
 
@@ -47,7 +48,7 @@ def rating_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rating_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    record = pipelines.rating_profile(views.review(spark, sf_dir), views.product(spark, sf_dir))
+    record = records.rating_profile(views.review(spark, sf_dir), views.product(spark, sf_dir))
     return rounded(
         record, "mean_meanRating", "variance_meanRating", "mean_countRating", "variance_countRating"
     )
@@ -59,7 +60,7 @@ def category_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def category_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    record = pipelines.category_profile(views.product(spark, sf_dir))
+    record = records.category_profile(views.product(spark, sf_dir))
     return rounded(record, "mean_bestSalesRank", "variance_bestSalesRank")
 
 
@@ -69,7 +70,7 @@ def neighbour_price(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def neighbour_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    record = pipelines.neighbour_profile(views.product(spark, sf_dir), skip_nan=True)
+    record = records.neighbour_profile(views.product(spark, sf_dir), skip_nan=True)
     return rounded(
         record,
         "mean_meanPriceAlsoViewed",
@@ -86,7 +87,7 @@ def impute_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def impute_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    record = pipelines.impute_profile(views.product(spark, sf_dir), accuracy=EXACT_MEDIAN)
+    record = records.impute_profile(views.product(spark, sf_dir), accuracy=EXACT_MEDIAN)
     return rounded(
         record,
         "mean_meanImputedPrice",
@@ -106,7 +107,7 @@ def product_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def price_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(pipelines.warmup_profile(views.product(spark, sf_dir), skip_nan=True), "mean_price")
+    return rounded(records.warmup_profile(views.product(spark, sf_dir), skip_nan=True), "mean_price")
 
 
 def tokens_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -132,7 +133,7 @@ def nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def title_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pipelines.title_embedding(views.titles(spark, sf_dir), QUERY_WORDS, SEED)
+    return records.title_embedding(views.titles(spark, sf_dir), QUERY_WORDS, SEED)
 
 
 def category_index(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -152,7 +153,7 @@ def onehot_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pca_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    record = pipelines.category_encoding(views.categories(spark, sf_dir))
+    record = records.category_encoding(views.categories(spark, sf_dir))
     means = record.select(F.posexplode("meanVector_categoryPCA").alias("component", "mean"))
     return rounded(means, "mean")
 
@@ -162,20 +163,19 @@ def pca_energy(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = _onehot(views.categories(spark, sf_dir)).select("asin", "categoryOneHot")
     width = encoded.schema["categoryOneHot"].metadata["ml_attr"]["num_attrs"]
     projected = fit_pca(encoded, "categoryOneHot", "categoryPCA", width).transform(encoded)
-    components = projected.select(F.posexplode(vector_to_array("categoryPCA")).alias("component", "value"))
-    per_component = components.groupBy("component").agg(
-        F.avg("value").alias("mean"), F.var_samp("value").alias("variance")
-    )
-    totals = per_component.agg(
+    summary = projected.agg(
+        Summarizer.metrics("mean", "variance").summary(F.col("categoryPCA")).alias("s")
+    ).select(vector_to_array("s.mean").alias("mean"), vector_to_array("s.variance").alias("variance"))
+    totals = summary.select(F.explode(F.arrays_zip("mean", "variance")).alias("c")).agg(
         F.count("*").alias("components"),
-        F.sum(F.col("mean") * F.col("mean")).alias("squared_mean"),
-        F.sum("variance").alias("total_variance"),
+        F.sum(F.col("c.mean") * F.col("c.mean")).alias("squared_mean"),
+        F.sum("c.variance").alias("total_variance"),
     )
     return rounded(totals, "squared_mean", "total_variance")
 
 
 def category_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pipelines.category_encoding(views.categories(spark, sf_dir))
+    return records.category_encoding(views.categories(spark, sf_dir))
 
 
 def split_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -195,12 +195,12 @@ def _features_parts(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
 
 def tree_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, test = _features_parts(spark, sf_dir)
-    return rounded(pipelines.tree_baseline(train, test, SEED), "test_rmse")
+    return rounded(records.tree_baseline(train, test, SEED), "test_rmse")
 
 
 def depth_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, test = _features_parts(spark, sf_dir)
-    return pipelines.depth_selection(train, test, ["vec_id"], SEED)
+    return records.depth_selection(train, test, ["vec_id"], SEED)
 
 
 def _type_parts(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
@@ -228,7 +228,7 @@ def tree_depth_zero(spark: SparkSession, sf_dir: str) -> DataFrame:
 def depth_selection_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All depths separate the types, so the tie must go to the shallowest."""
     train, test = _type_parts(spark, sf_dir)
-    record = pipelines.depth_selection(train, test, ["asin"], SEED, digest="md5")
+    record = records.depth_selection(train, test, ["asin"], SEED, digest="md5")
     return rounded(record, *record.columns)
 
 

@@ -1,4 +1,4 @@
-"""The nine pipelines: each turns its tables into a one-row result record.
+"""The nine result records: tables in, one row of statistics out.
 
 Column names are those of the result records. Records are DataFrames; save one
 with ``shelfwise.sources.catalog.save_record``.

@@ -69,5 +69,5 @@ def preview(df: DataFrame, n: int = 5, *columns: str) -> DataFrame:
 def save_record(record: DataFrame, root: str, name: str, fmt: str = "json") -> str:
     """Writes a one-row result under its name, replacing an earlier one."""
     path = f"{root.rstrip('/')}/{name}"
-    record.coalesce(1).write.mode("overwrite").format(fmt).save(path)
+    record.write.mode("overwrite").format(fmt).save(path)
     return path

@@ -1,4 +1,4 @@
-"""The input tables of the pipelines, derived from the test tables.
+"""The input tables of the result records, derived from the test tables.
 
 The test tables hold no nested columns and hardly any nulls, so fixed rules on
 the key add both. Every row of the source table is used.

@@ -15,7 +15,7 @@ from shelfwise.operators.embedding import fit_embedding, nearest, vocabulary
 from shelfwise.operators.encode import fit_index, fit_onehot, fit_pca, vector_mean, vector_rows
 from shelfwise.operators.split import assign_split, hash_split
 from shelfwise.operators.trees import choose_depth, kept, rmse, tree_rmse
-from shelfwise.plans import pipelines
+from shelfwise.plans import records
 from shelfwise.plans.queries import QUERY_WORDS
 from shelfwise.sources import views
 
@@ -87,7 +87,7 @@ def test_null_token_list_fails(spark):
 
 
 def test_title_embedding_record(spark, sf_dir, tokens):
-    found = record(pipelines.title_embedding(views.titles(spark, sf_dir), QUERY_WORDS[:2] + ["no such word"], 1))
+    found = record(records.title_embedding(views.titles(spark, sf_dir), QUERY_WORDS[:2] + ["no such word"], 1))
     assert found["count_total"] == tokens.count()
     assert found["size_vocabulary"] == vocabulary(tokens, "words").count()
     first = found["word_0_synonyms"]
@@ -137,7 +137,7 @@ def test_mean_of_projection_is_projection_of_mean(spark, sf_dir, encoded):
     expected = model.pc.toArray().T @ means["hot"].toArray()
     assert np.allclose(means["pca"].toArray(), expected, atol=1e-12)
 
-    found = record(pipelines.category_encoding(views.categories(spark, sf_dir)))
+    found = record(records.category_encoding(views.categories(spark, sf_dir)))
     assert found["count_total"] == encoded.count()
     assert np.allclose(found["meanVector_categoryOneHot"], means["hot"].toArray(), atol=1e-12)
     assert np.allclose(np.abs(found["meanVector_categoryPCA"]), np.abs(expected), atol=1e-9)
@@ -150,7 +150,7 @@ def test_components_are_orthonormal(encoded):
 
 def test_more_components_than_levels_fails(spark, sf_dir):
     with pytest.raises(Exception):
-        pipelines.category_encoding(views.categories(spark, sf_dir, "p_type"), k=15)
+        records.category_encoding(views.categories(spark, sf_dir, "p_type"), k=15)
 
 
 # --- splits and trees ----------------------------------------------------
@@ -199,7 +199,7 @@ def test_rmse_equals_evaluator(tables):
     scored = model.transform(test)
     expected = RegressionEvaluator(labelCol="overall", metricName="rmse").evaluate(scored)
     assert close(record(rmse(scored, "overall"))["rmse"], expected, 1e-12)
-    assert close(record(pipelines.tree_baseline(train, test, 2))["test_rmse"], expected, 1e-12)
+    assert close(record(records.tree_baseline(train, test, 2))["test_rmse"], expected, 1e-12)
     assert record(rmse(scored.limit(0), "overall"))["rmse"] is None
 
 
@@ -215,7 +215,7 @@ def test_depth_choice_fits_on_the_split_only(tables):
         if depth == choice.depth:
             expected = evaluator.evaluate(model.transform(test))
     assert choice.errors[choice.depth] == min(choice.errors.values())
-    found = record(pipelines.depth_selection(train, test, ["vec_id"], 2))
+    found = record(records.depth_selection(train, test, ["vec_id"], 2))
     assert close(found["test_rmse"], expected, 1e-9)
     assert all(close(found[f"valid_rmse_depth_{d}"], e) for d, e in choice.errors.items())
 

@@ -3,7 +3,7 @@
 import pytest
 from helpers import close, record
 
-from shelfwise.plans import pipelines
+from shelfwise.plans import records
 from shelfwise.plans.queries import EXACT_MEDIAN, tokens_vocabulary
 from shelfwise.sources import views
 
@@ -23,7 +23,7 @@ def product(spark):
 
 def test_rating(spark, product):
     check(
-        pipelines.rating_profile(views.review(spark, SF_DIR), product),
+        records.rating_profile(views.review(spark, SF_DIR), product),
         {
             "count_total": 2000,
             "mean_meanRating": 3.0076202911583763,
@@ -38,7 +38,7 @@ def test_rating(spark, product):
 
 def test_category(product):
     check(
-        pipelines.category_profile(product),
+        records.category_profile(product),
         {
             "count_total": 2000,
             "mean_bestSalesRank": 25.52842377260982,
@@ -53,7 +53,7 @@ def test_category(product):
 
 def test_neighbour(product):
     check(
-        pipelines.neighbour_profile(product, skip_nan=True),
+        records.neighbour_profile(product, skip_nan=True),
         {
             "count_total": 2000,
             "mean_meanPriceAlsoViewed": 949.8202484056409,
@@ -68,7 +68,7 @@ def test_neighbour(product):
 
 def test_impute(product):
     check(
-        pipelines.impute_profile(product, accuracy=EXACT_MEDIAN),
+        records.impute_profile(product, accuracy=EXACT_MEDIAN),
         {
             "mean_meanImputedPrice": 949.97169449577,
             "variance_meanImputedPrice": 649.2294869162,

@@ -9,7 +9,7 @@ from shelfwise.operators.impute import fill_values, impute_number, impute_text
 from shelfwise.operators.neighbours import attach_neighbour_price
 from shelfwise.operators.profile import profile
 from shelfwise.operators.rollup import attach_rating
-from shelfwise.plans import pipelines
+from shelfwise.plans import records
 
 
 @pytest.fixture(scope="module")
@@ -29,7 +29,7 @@ def test_rating_rollup(spark, reviews):
 
 def test_rating_profile(spark, reviews):
     items = spark.createDataFrame([("a",), ("b",), ("c",)], "asin string")
-    assert record(pipelines.rating_profile(reviews, items)) == {
+    assert record(records.rating_profile(reviews, items)) == {
         "count_total": 3,
         "mean_meanRating": 4.0,
         "variance_meanRating": None,
@@ -86,7 +86,7 @@ def test_neighbours_keep_nan_by_default(spark):
     items = spark.sql(NEIGHBOURS).selectExpr("asin", "price", f"{AS_MAP} as related")
     means = {asin: mean for asin, _, mean in attach_neighbour_price(items).collect()}
     assert math.isnan(means["c"]) and math.isnan(means["f"]) and means["a"] == 20.0
-    summary = record(pipelines.neighbour_profile(items))
+    summary = record(records.neighbour_profile(items))
     assert math.isnan(summary["mean_meanPriceAlsoViewed"])
     assert summary["numNulls_meanPriceAlsoViewed"] == 3
     assert summary["numNulls_countAlsoViewed"] == 2
@@ -106,7 +106,7 @@ def test_category_profile(spark):
              (cast(null as array<array<string>>), cast(map() as map<string,int>))
            as t(categories, salesRank)"""
     )
-    assert record(pipelines.category_profile(items)) == {
+    assert record(records.category_profile(items)) == {
         "count_total": 4,
         "mean_bestSalesRank": 20.0,
         "variance_bestSalesRank": 200.0,
@@ -140,7 +140,7 @@ def test_impute_profile(spark):
     items = spark.createDataFrame(
         [(2.0, "unknown"), (4.0, ""), (None, None), (float("nan"), " ")], "price float, title string"
     )
-    summary = record(pipelines.impute_profile(items))
+    summary = record(records.impute_profile(items))
     assert summary["count_total"] == 4
     assert summary["mean_meanImputedPrice"] == 3.0
     assert close(summary["variance_meanImputedPrice"], 2 / 3)
@@ -156,10 +156,10 @@ def test_impute_text_keeps_input(spark):
 
 def test_warmup_profile(spark):
     items = spark.createDataFrame([(1.0,), (None,), (3.0,)], "price float")
-    assert record(pipelines.warmup_profile(items)) == {"count_total": 3, "mean_price": 2.0}
+    assert record(records.warmup_profile(items)) == {"count_total": 3, "mean_price": 2.0}
     with_nan = spark.createDataFrame([(1.0,), (float("nan"),)], "price float")
-    assert math.isnan(record(pipelines.warmup_profile(with_nan))["mean_price"])
-    assert record(pipelines.warmup_profile(with_nan, skip_nan=True))["mean_price"] == 1.0
+    assert math.isnan(record(records.warmup_profile(with_nan))["mean_price"])
+    assert record(records.warmup_profile(with_nan, skip_nan=True))["mean_price"] == 1.0
 
 
 def test_profile_of_empty_table(spark):

@@ -4,7 +4,7 @@ import pytest
 from helpers import record, rows
 from pyspark.ml.linalg import Vectors
 
-from shelfwise.plans import pipelines
+from shelfwise.plans import records
 from shelfwise.sources import catalog, views
 
 
@@ -20,8 +20,8 @@ def test_catalogue_round_trip(spark, tmp_path):
         spark,
         {"product": f"{tmp_path}/product", "review": f"{tmp_path}/review", "ml_features_train": f"{tmp_path}/train"},
     )
-    assert record(pipelines.rating_profile(tables["review"], tables["product"]))["mean_meanRating"] == 4.0
-    assert record(pipelines.category_profile(tables["product"]))["mean_bestSalesRank"] == 9.0
+    assert record(records.rating_profile(tables["review"], tables["product"]))["mean_meanRating"] == 4.0
+    assert record(records.category_profile(tables["product"]))["mean_bestSalesRank"] == 9.0
     assert tables["ml_features_train"].first()["features"] == Vectors.dense([1.0, 2.0])
     assert spark.table("review").count() == 1
 
@@ -33,10 +33,10 @@ def test_json_with_declared_schema(spark, tmp_path):
         '{"asin": "b", "categories": [["x", "y"]]}\n'
     )
     product = catalog.load_catalog(spark, {"product": str(path)}, fmt="json")["product"]
-    found = record(pipelines.category_profile(product))
+    found = record(records.category_profile(product))
     assert found["mean_bestSalesRank"] == 9.0
     assert found["numNulls_category"] == 1
-    assert record(pipelines.neighbour_profile(product))["mean_meanPriceAlsoViewed"] == 1.5
+    assert record(records.neighbour_profile(product))["mean_meanPriceAlsoViewed"] == 1.5
 
 
 def test_unknown_table(spark):
