@@ -1,11 +1,13 @@
-"""Size estimates, and spreading small tables over the cores."""
+"""Size estimates, and spreading small tables over tasks."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 
-# Below this size per part a table is worth spreading for heavy per-row work.
-SPREAD_BELOW_BYTES = 32 << 20
+# Heavy per-row work is worth a task per so many bytes of (compressed) input.
+BYTES_PER_TASK = 1 << 20
+# Tables above this have tasks enough by themselves.
+SPREAD_BELOW_BYTES = 1 << 30
 
 
 def estimated_bytes(df: DataFrame) -> int:
@@ -13,17 +15,24 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
-def cores(df: DataFrame) -> int:
-    return df.sparkSession.sparkContext.defaultParallelism
+def worthwhile_tasks(df: DataFrame) -> int:
+    """One task per ``BYTES_PER_TASK``, at most ``spark.sql.shuffle.partitions``.
+
+    Unlike the number of cores this does not change while a cluster grows.
+    """
+    most = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, min(most, estimated_bytes(df) // BYTES_PER_TASK))
 
 
-def select_spread(df: DataFrame, column: str | Column, parts: int) -> DataFrame:
-    """``column`` of ``df``, computed in ``parts`` tasks if ``df`` is small.
+def select_spread(df: DataFrame, column: str | Column, tasks: int | None = None) -> DataFrame:
+    """``column`` of ``df``, computed in several tasks if ``df`` is small.
 
-    A table that is small for so many cores may sit in one row group, hence in
-    one task, so it is shuffled first (only what ``column`` needs of it). A
-    large table has tasks enough and is read where it lies.
+    A small table may sit in one row group, hence in one task, so it is
+    shuffled first (only what ``column`` needs of it). A large table is read
+    where it lies.
     """
-    if parts > 1 and estimated_bytes(df.select(column)) < parts * SPREAD_BELOW_BYTES:
-        df = df.repartition(parts)
-    return df.select(column)
+    selected = df.select(column)
+    tasks = tasks or worthwhile_tasks(selected)
+    if tasks > 1 and estimated_bytes(selected) < SPREAD_BELOW_BYTES:
+        return df.repartition(tasks).select(column)
+    return selected

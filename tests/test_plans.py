@@ -76,9 +76,12 @@ def test_listed_tokens_are_split_once(spark, sf_dir):
     assert plan(vocabulary(tokens, "words")).count("split(") == 1
 
 
-def test_small_text_is_spread_with_its_one_column(plans):
-    assert len(exchanges(plans["tokens_vocabulary"])) == 2
-    assert "RoundRobinPartitioning" in plans["tokens_vocabulary"]
+def test_small_text_is_spread_with_its_one_column(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(sizes, "BYTES_PER_TASK", 1000)
+    text = plan(QUERIES["tokens_vocabulary"](spark, sf_dir))
+    assert len(exchanges(text)) == 2
+    assert "RoundRobinPartitioning(4)" in text
+    assert read_columns(text) == {"text"}
 
 
 def test_ranking_limits_before_the_shuffle(plans):
