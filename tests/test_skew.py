@@ -62,6 +62,7 @@ def test_hot_rows_reach_many_tasks(skewed, lookup, shuffled_joins, hot):
 
     spread = _spread_join(skewed, lookup, "asin", "left", hot_keys(skewed, "asin", ALWAYS))
     assert "SortMergeJoin" in plan(spread)
+    assert "BroadcastHashJoin" in plan(spread) and "NestedLoop" not in plan(spread)
     assert tasks(skewed.join(lookup, "asin", "left")) == 1
     assert tasks(spread) > 1
 
