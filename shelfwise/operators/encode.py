@@ -7,24 +7,40 @@ from pyspark.ml.feature import (
     OneHotEncoder,
     OneHotEncoderModel,
     PCAModel,
-    StringIndexer,
     StringIndexerModel,
 )
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def fit_index(df: DataFrame, category: str, output: str, handle_invalid: str = "error") -> StringIndexerModel:
+# The widest indicator vector whose covariance Spark's PCA accepts.
+MAX_LEVELS = 65_535
+
+
+def fit_index(
+    df: DataFrame,
+    category: str,
+    output: str,
+    handle_invalid: str = "error",
+    max_levels: int = MAX_LEVELS,
+) -> StringIndexerModel:
     """Index 0 is the most frequent category; ties go by label.
 
     ``""`` is a category. Nulls are passed over here; on transform they and
-    unseen categories raise unless ``handle_invalid`` says otherwise. The
-    labels are held on the driver, so the number of categories must be modest.
+    unseen categories raise unless ``handle_invalid`` says otherwise.
+
+    Equal to a fitted ``StringIndexer``, but counted by an ordinary grouping,
+    so that many categories do not meet in one task. The model holds its
+    labels on the driver: more than ``max_levels`` raise ``ValueError``.
     """
-    return StringIndexer(inputCol=category, outputCol=output, handleInvalid=handle_invalid).fit(
-        df.select(category)
+    counts = df.filter(F.col(category).isNotNull()).groupBy(category).agg(F.count("*"))
+    levels = [(-row[1], row[0]) for row in counts.limit(max_levels + 1).collect()]
+    if len(levels) > max_levels:
+        raise ValueError(f"{category} has more than {max_levels} categories")
+    return StringIndexerModel.from_labels(
+        [label for _, label in sorted(levels)], category, output, handle_invalid
     )
 
 
@@ -42,6 +58,22 @@ def fit_pca(df: DataFrame, vector: str, output: str, k: int = 15) -> PCAModel:
     return PCA(k=k, inputCol=vector, outputCol=output).fit(df.select(vector))
 
 
+def onehot_mean(df: DataFrame, index: str, output: str) -> DataFrame:
+    """One row: ``count_total`` and the mean of the indicators of ``index``.
+
+    The mean indicator vector is the list of shares of the indices, so counting
+    them gives it without building a vector per row. Every index from 0 up to
+    the largest must occur, as it does where the index was fitted.
+    """
+    counts = df.groupBy(index).agg(F.count("*").alias("n"))
+    total = counts.agg(
+        F.sum("n").alias("count_total"),
+        F.array_sort(F.collect_list(F.struct(index, "n"))).alias("levels"),
+    )
+    shares = F.transform("levels", lambda level: level["n"] / F.col("count_total"))
+    return total.select("count_total", array_to_vector(shares).alias(output))
+
+
 def vector_mean(df: DataFrame, **means: str) -> DataFrame:
     """One row: ``count_total`` and, per ``name=column``, the mean vector."""
     return df.agg(

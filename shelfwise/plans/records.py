@@ -16,7 +16,7 @@ from shelfwise.functions.cleaning import valid_number
 from shelfwise.functions.text import space_tokens
 from shelfwise.operators.attach import DEFAULT_SKEW, Skew
 from shelfwise.operators.embedding import fit_embedding, nearest
-from shelfwise.operators.encode import fit_index, fit_onehot, fit_pca, vector_mean
+from shelfwise.operators.encode import fit_index, fit_onehot, fit_pca, onehot_mean
 from shelfwise.operators.flatten import flatten_category_and_rank
 from shelfwise.operators.impute import MEDIAN_ACCURACY, impute_number, impute_text
 from shelfwise.operators.neighbours import attach_neighbour_price
@@ -105,15 +105,15 @@ def category_encoding(processed: DataFrame, k: int = 15) -> DataFrame:
     """count_total and the mean indicator and mean component vectors.
 
     The projection is linear and not centred, so the mean of the projected
-    rows is the projected mean row: only one vector is projected. The fits and
-    the mean each read the category column alone, which costs less than
-    keeping the encoded rows.
+    rows is the projected mean row: only one vector is projected, and only the
+    fit of the components builds vectors per row. Each pass reads the category
+    column alone, which costs less than keeping the encoded rows.
     """
     category = processed.select("category")
     indexed = fit_index(category, "category", "categoryIndex").transform(category)
     encoded = fit_onehot(indexed, "categoryIndex", "categoryOneHot").transform(indexed)
     components = fit_pca(encoded, "categoryOneHot", "categoryPCA", k)
-    means = components.transform(vector_mean(encoded, categoryOneHot="categoryOneHot"))
+    means = components.transform(onehot_mean(indexed, "categoryIndex", "categoryOneHot"))
     return means.select(
         "count_total",
         vector_to_array("categoryOneHot").alias("meanVector_categoryOneHot"),

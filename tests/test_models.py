@@ -6,13 +6,14 @@ import numpy as np
 import pytest
 from helpers import close, record, rows
 from pyspark.ml.evaluation import RegressionEvaluator
+from pyspark.ml.feature import StringIndexer
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import functions as F
 
 from shelfwise.functions.text import space_tokens
 from shelfwise.operators.embedding import fit_embedding, nearest, vocabulary
-from shelfwise.operators.encode import fit_index, fit_onehot, fit_pca, vector_mean, vector_rows
+from shelfwise.operators.encode import fit_index, fit_onehot, fit_pca, onehot_mean, vector_mean, vector_rows
 from shelfwise.operators.split import assign_split, hash_split
 from shelfwise.operators.trees import choose_depth, kept, rmse, tree_rmse
 from shelfwise.plans import records
@@ -105,6 +106,20 @@ def test_index_order(spark):
     assert rows(indexed.distinct()) == [("", 1.0), ("a", 2.0), ("b", 3.0), ("c", 0.0)]
 
 
+def test_index_equals_string_indexer(spark, sf_dir):
+    for column in ("p_brand", "p_type"):
+        items = views.categories(spark, sf_dir, column)
+        expected = StringIndexer(inputCol="category", outputCol="i").fit(items)
+        found = fit_index(items, "category", "i")
+        assert found.labels == expected.labels
+        assert rows(found.transform(items)) == rows(expected.transform(items))
+
+
+def test_too_many_categories(spark, sf_dir):
+    with pytest.raises(ValueError, match="more than 5"):
+        fit_index(views.categories(spark, sf_dir, "p_type"), "category", "i", max_levels=5)
+
+
 def test_index_of_null_and_unseen(spark):
     items = spark.createDataFrame([("a",), (None,)], "category string")
     with pytest.raises(Exception):
@@ -129,6 +144,9 @@ def test_onehot_keeps_every_level(encoded):
     shares = [r["value"] for r in vector_rows(vector_mean(encoded, hot="hot"), "hot").orderBy("position").collect()]
     assert close(sum(shares), 1.0)
     assert shares == sorted(shares, reverse=True)
+    counted = onehot_mean(encoded, "i", "hot").first()
+    assert counted["count_total"] == encoded.count()
+    assert np.allclose(counted["hot"].toArray(), shares, atol=1e-12)
 
 
 def test_mean_of_projection_is_projection_of_mean(spark, sf_dir, encoded):
