@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.ml.feature import (
     PCA,
     OneHotEncoder,
@@ -11,37 +13,59 @@ from pyspark.ml.feature import (
 )
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
 # The widest indicator vector whose covariance Spark's PCA accepts.
 MAX_LEVELS = 65_535
+# Up to this width the components come from the counts; see fit_onehot_pca.
+MAX_COUNTED_WIDTH = 2_000
 
 
-def fit_index(
-    df: DataFrame,
-    category: str,
-    output: str,
-    handle_invalid: str = "error",
-    max_levels: int = MAX_LEVELS,
-) -> StringIndexerModel:
-    """Index 0 is the most frequent category; ties go by label.
+@dataclass(frozen=True)
+class Levels:
+    """The categories, most frequent first, ties by label, with their counts."""
+
+    labels: list[str]
+    counts: list[int]
+    nulls: int
+
+    @property
+    def shares(self) -> list[float]:
+        total = sum(self.counts)
+        return [n / total for n in self.counts]
 
-    ``""`` is a category. Nulls are passed over here; on transform they and
-    unseen categories raise unless ``handle_invalid`` says otherwise.
 
-    Equal to a fitted ``StringIndexer``, but counted by an ordinary grouping,
-    so that many categories do not meet in one task. The model holds its
-    labels on the driver: more than ``max_levels`` raise ``ValueError``.
+def count_levels(df: DataFrame, category: str, max_levels: int = MAX_LEVELS) -> Levels:
+    """Counts every row of ``df`` by category; ``""`` is one, null is not.
+
+    An ordinary grouping, combined before the shuffle, so that many categories
+    do not meet in one task as they do in ``StringIndexer``. Its result goes to
+    the driver, as the labels of any index model do: more than ``max_levels``
+    raise ``ValueError``.
     """
-    counts = df.filter(F.col(category).isNotNull()).groupBy(category).agg(F.count("*"))
-    levels = [(-row[1], row[0]) for row in counts.limit(max_levels + 1).collect()]
+    counts = df.groupBy(category).agg(F.count("*").alias("n"))
+    found = counts.limit(max_levels + 2).collect()
+    levels = sorted((-row["n"], row[category]) for row in found if row[category] is not None)
     if len(levels) > max_levels:
         raise ValueError(f"{category} has more than {max_levels} categories")
-    return StringIndexerModel.from_labels(
-        [label for _, label in sorted(levels)], category, output, handle_invalid
-    )
+    nulls = sum(row["n"] for row in found if row[category] is None)
+    return Levels([label for _, label in levels], [-n for n, _ in levels], nulls)
+
+
+def index_model(levels: Levels, category: str, output: str, handle_invalid: str = "error") -> StringIndexerModel:
+    return StringIndexerModel.from_labels(levels.labels, category, output, handle_invalid)
+
+
+def fit_index(df: DataFrame, category: str, output: str, handle_invalid: str = "error") -> StringIndexerModel:
+    """Index 0 is the most frequent category; ties go by label.
+
+    Equal to a fitted ``StringIndexer``. Nulls are passed over here; on
+    transform they and unseen categories raise unless ``handle_invalid`` says
+    otherwise.
+    """
+    return index_model(count_levels(df, category), category, output, handle_invalid)
 
 
 def fit_onehot(df: DataFrame, index: str, output: str) -> OneHotEncoderModel:
@@ -58,20 +82,19 @@ def fit_pca(df: DataFrame, vector: str, output: str, k: int = 15) -> PCAModel:
     return PCA(k=k, inputCol=vector, outputCol=output).fit(df.select(vector))
 
 
-def onehot_mean(df: DataFrame, index: str, output: str) -> DataFrame:
-    """One row: ``count_total`` and the mean of the indicators of ``index``.
+def fit_onehot_pca(spark: SparkSession, levels: Levels, vector: str, output: str, k: int = 15) -> PCAModel:
+    """The components of the indicator vectors of ``levels``, from their counts.
 
-    The mean indicator vector is the list of shares of the indices, so counting
-    them gives it without building a vector per row. Every index from 0 up to
-    the largest must occur, as it does where the index was fitted.
+    Indicators with shares p have covariance diag(p) - pp'. The 2 x width rows
+    +-sqrt(p_i) (e_i - p) have mean zero and, up to a factor, the same
+    covariance, hence the same components and explained shares. So the table
+    itself is not read again.
     """
-    counts = df.groupBy(index).agg(F.count("*").alias("n"))
-    total = counts.agg(
-        F.sum("n").alias("count_total"),
-        F.array_sort(F.collect_list(F.struct(index, "n"))).alias("levels"),
-    )
-    shares = F.transform("levels", lambda level: level["n"] / F.col("count_total"))
-    return total.select("count_total", array_to_vector(shares).alias(output))
+    shares = F.lit(levels.shares)
+    scale = F.col("sign") * F.sqrt(F.get(shares, F.col("id").cast("int")))
+    rows = spark.range(0, len(levels.labels), 1, 1).withColumn("sign", F.explode(F.array(F.lit(1.0), F.lit(-1.0))))
+    entries = F.transform(shares, lambda p, i: scale * (F.when(i == F.col("id"), 1.0).otherwise(0.0) - p))
+    return fit_pca(rows.select(array_to_vector(entries).alias(vector)), vector, output, k)
 
 
 def vector_mean(df: DataFrame, **means: str) -> DataFrame:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,7 +16,14 @@ from shelfwise.functions.cleaning import valid_number
 from shelfwise.functions.text import space_tokens
 from shelfwise.operators.attach import DEFAULT_SKEW, Skew
 from shelfwise.operators.embedding import fit_embedding, nearest
-from shelfwise.operators.encode import fit_index, fit_onehot, fit_pca, onehot_mean
+from shelfwise.operators.encode import (
+    MAX_COUNTED_WIDTH,
+    count_levels,
+    fit_onehot,
+    fit_onehot_pca,
+    fit_pca,
+    index_model,
+)
 from shelfwise.operators.flatten import flatten_category_and_rank
 from shelfwise.operators.impute import MEDIAN_ACCURACY, impute_number, impute_text
 from shelfwise.operators.neighbours import attach_neighbour_price
@@ -104,17 +111,27 @@ def title_embedding(
 def category_encoding(processed: DataFrame, k: int = 15) -> DataFrame:
     """count_total and the mean indicator and mean component vectors.
 
-    The projection is linear and not centred, so the mean of the projected
-    rows is the projected mean row: only one vector is projected, and only the
-    fit of the components builds vectors per row. Each pass reads the category
-    column alone, which costs less than keeping the encoded rows.
+    One pass over the category column counts the categories. The shares are
+    the mean indicator vector, and fix the components too, unless there are so
+    many categories that the rows are the smaller input. The projection is
+    linear and not centred, so the mean of the projected rows is the projected
+    mean row: only one vector is projected.
     """
-    category = processed.select("category")
-    indexed = fit_index(category, "category", "categoryIndex").transform(category)
-    encoded = fit_onehot(indexed, "categoryIndex", "categoryOneHot").transform(indexed)
-    components = fit_pca(encoded, "categoryOneHot", "categoryPCA", k)
-    means = components.transform(onehot_mean(indexed, "categoryIndex", "categoryOneHot"))
-    return means.select(
+    spark = processed.sparkSession
+    levels = count_levels(processed, "category")
+    if levels.nulls:
+        raise ValueError(f"{levels.nulls} rows have no category")
+    if len(levels.labels) <= MAX_COUNTED_WIDTH:
+        components = fit_onehot_pca(spark, levels, "categoryOneHot", "categoryPCA", k)
+    else:
+        indexed = index_model(levels, "category", "categoryIndex").transform(processed.select("category"))
+        encoded = fit_onehot(indexed, "categoryIndex", "categoryOneHot").transform(indexed)
+        components = fit_pca(encoded, "categoryOneHot", "categoryPCA", k)
+    mean = spark.range(1).select(
+        F.lit(sum(levels.counts)).cast("long").alias("count_total"),
+        array_to_vector(F.lit(levels.shares)).alias("categoryOneHot"),
+    )
+    return components.transform(mean).select(
         "count_total",
         vector_to_array("categoryOneHot").alias("meanVector_categoryOneHot"),
         vector_to_array("categoryPCA").alias("meanVector_categoryPCA"),

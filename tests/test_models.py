@@ -13,7 +13,15 @@ from pyspark.sql import functions as F
 
 from shelfwise.functions.text import space_tokens
 from shelfwise.operators.embedding import fit_embedding, nearest, vocabulary
-from shelfwise.operators.encode import fit_index, fit_onehot, fit_pca, onehot_mean, vector_mean, vector_rows
+from shelfwise.operators.encode import (
+    count_levels,
+    fit_index,
+    fit_onehot,
+    fit_onehot_pca,
+    fit_pca,
+    vector_mean,
+    vector_rows,
+)
 from shelfwise.operators.split import assign_split, hash_split
 from shelfwise.operators.trees import choose_depth, kept, rmse, tree_rmse
 from shelfwise.plans import records
@@ -117,7 +125,8 @@ def test_index_equals_string_indexer(spark, sf_dir):
 
 def test_too_many_categories(spark, sf_dir):
     with pytest.raises(ValueError, match="more than 5"):
-        fit_index(views.categories(spark, sf_dir, "p_type"), "category", "i", max_levels=5)
+        count_levels(views.categories(spark, sf_dir, "p_type"), "category", max_levels=5)
+    assert len(count_levels(views.categories(spark, sf_dir, "p_type"), "category", max_levels=6).labels) == 6
 
 
 def test_index_of_null_and_unseen(spark):
@@ -144,9 +153,9 @@ def test_onehot_keeps_every_level(encoded):
     shares = [r["value"] for r in vector_rows(vector_mean(encoded, hot="hot"), "hot").orderBy("position").collect()]
     assert close(sum(shares), 1.0)
     assert shares == sorted(shares, reverse=True)
-    counted = onehot_mean(encoded, "i", "hot").first()
-    assert counted["count_total"] == encoded.count()
-    assert np.allclose(counted["hot"].toArray(), shares, atol=1e-12)
+    levels = count_levels(encoded, "category")
+    assert sum(levels.counts) == encoded.count() and levels.nulls == 0
+    assert np.allclose(levels.shares, shares, atol=1e-12)
 
 
 def test_mean_of_projection_is_projection_of_mean(spark, sf_dir, encoded):
@@ -161,6 +170,33 @@ def test_mean_of_projection_is_projection_of_mean(spark, sf_dir, encoded):
     assert np.allclose(np.abs(found["meanVector_categoryPCA"]), np.abs(expected), atol=1e-9)
 
 
+def test_components_from_counts(spark, sf_dir, encoded):
+    """Axes agree up to sign; where shares tie, the planes they span do."""
+    from_rows = fit_pca(encoded, "hot", "pca", 15)
+    from_counts = fit_onehot_pca(spark, count_levels(encoded, "category"), "hot", "pca", 15)
+    variance = from_rows.explainedVariance.toArray()
+    assert np.allclose(from_counts.explainedVariance.toArray(), variance, atol=1e-9)
+    a, b = from_rows.pc.toArray(), from_counts.pc.toArray()
+    gaps = np.abs(np.subtract.outer(variance, variance)) + np.eye(15)
+    alone = [i for i in range(14) if gaps[i].min() > 1e-6]
+    assert len(alone) >= 3
+    assert np.allclose(np.abs(np.sum(a * b, axis=0))[alone], 1.0, atol=1e-6)
+
+
+def test_many_categories_fit_on_rows(spark, sf_dir, monkeypatch):
+    expected = record(records.category_encoding(views.categories(spark, sf_dir), k=3))
+    monkeypatch.setattr(records, "MAX_COUNTED_WIDTH", 10)
+    found = record(records.category_encoding(views.categories(spark, sf_dir), k=3))
+    assert found["meanVector_categoryOneHot"] == expected["meanVector_categoryOneHot"]
+    assert np.allclose(np.abs(found["meanVector_categoryPCA"]), np.abs(expected["meanVector_categoryPCA"]), atol=1e-9)
+
+
+def test_encoding_of_null_category_fails(spark):
+    items = spark.createDataFrame([("a",), ("b",), (None,)], "category string")
+    with pytest.raises(ValueError, match="1 rows"):
+        records.category_encoding(items, k=1)
+
+
 def test_components_are_orthonormal(encoded):
     axes = fit_pca(encoded, "hot", "pca", 15).pc.toArray()
     assert np.allclose(axes.T @ axes, np.eye(15), atol=1e-9)
