@@ -9,6 +9,7 @@ from pyspark.ml.feature import (
     OneHotEncoder,
     OneHotEncoderModel,
     PCAModel,
+    StringIndexer,
     StringIndexerModel,
 )
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -16,7 +17,6 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
 # The widest indicator vector whose covariance Spark's PCA accepts.
 MAX_LEVELS = 65_535
 # Up to this width the components come from the counts; see fit_onehot_pca.
@@ -37,19 +37,19 @@ class Levels:
         return [n / total for n in self.counts]
 
 
-def count_levels(df: DataFrame, category: str, max_levels: int = MAX_LEVELS) -> Levels:
+def count_levels(df: DataFrame, category: str, max_levels: int = MAX_LEVELS) -> Levels | None:
     """Counts every row of ``df`` by category; ``""`` is one, null is not.
 
-    An ordinary grouping, combined before the shuffle, so that many categories
-    do not meet in one task as they do in ``StringIndexer``. Its result goes to
-    the driver, as the labels of any index model do: more than ``max_levels``
-    raise ``ValueError``.
+    An ordinary grouping, combined before the shuffle, so that the categories
+    do not all meet in one task as they do in ``StringIndexer``. Its result
+    goes to the driver, as the labels of any index model do, unless there are
+    more than ``max_levels``: then the answer is ``None``.
     """
     counts = df.groupBy(category).agg(F.count("*").alias("n"))
     found = counts.limit(max_levels + 2).collect()
     levels = sorted((-row["n"], row[category]) for row in found if row[category] is not None)
     if len(levels) > max_levels:
-        raise ValueError(f"{category} has more than {max_levels} categories")
+        return None
     nulls = sum(row["n"] for row in found if row[category] is None)
     return Levels([label for _, label in levels], [-n for n, _ in levels], nulls)
 
@@ -65,7 +65,11 @@ def fit_index(df: DataFrame, category: str, output: str, handle_invalid: str = "
     transform they and unseen categories raise unless ``handle_invalid`` says
     otherwise.
     """
-    return index_model(count_levels(df, category), category, output, handle_invalid)
+    levels = count_levels(df, category)
+    if levels is None:
+        indexer = StringIndexer(inputCol=category, outputCol=output, handleInvalid=handle_invalid)
+        return indexer.fit(df.select(category))
+    return index_model(levels, category, output, handle_invalid)
 
 
 def fit_onehot(df: DataFrame, index: str, output: str) -> OneHotEncoderModel:

@@ -22,7 +22,7 @@ from shelfwise.operators.impute import impute_number, impute_text
 from shelfwise.operators.neighbours import attach_neighbour_price
 from shelfwise.operators.rollup import attach_rating, mean_and_count
 from shelfwise.operators.split import assign_split, hash_split
-from shelfwise.operators.trees import choose_depth, rmse, tree_rmse
+from shelfwise.operators.trees import rmse, tree_rmse
 from shelfwise.plans import records
 from shelfwise.sources import views
 from shelfwise.sources.catalog import preview

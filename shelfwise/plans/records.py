@@ -119,6 +119,8 @@ def category_encoding(processed: DataFrame, k: int = 15) -> DataFrame:
     """
     spark = processed.sparkSession
     levels = count_levels(processed, "category")
+    if levels is None:
+        raise ValueError("too many categories for principal components")
     if levels.nulls:
         raise ValueError(f"{levels.nulls} rows have no category")
     if len(levels.labels) <= MAX_COUNTED_WIDTH:

@@ -12,6 +12,7 @@ from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import functions as F
 
 from shelfwise.functions.text import space_tokens
+from shelfwise.operators import encode
 from shelfwise.operators.embedding import fit_embedding, nearest, vocabulary
 from shelfwise.operators.encode import (
     count_levels,
@@ -123,10 +124,16 @@ def test_index_equals_string_indexer(spark, sf_dir):
         assert rows(found.transform(items)) == rows(expected.transform(items))
 
 
-def test_too_many_categories(spark, sf_dir):
-    with pytest.raises(ValueError, match="more than 5"):
-        count_levels(views.categories(spark, sf_dir, "p_type"), "category", max_levels=5)
-    assert len(count_levels(views.categories(spark, sf_dir, "p_type"), "category", max_levels=6).labels) == 6
+def test_too_many_categories(spark, sf_dir, monkeypatch):
+    items = views.categories(spark, sf_dir, "p_type")
+    assert count_levels(items, "category", max_levels=5) is None
+    assert len(count_levels(items, "category", max_levels=6).labels) == 6
+    expected = fit_index(items, "category", "i").labels
+    monkeypatch.setattr(encode, "count_levels", lambda *_: None)
+    assert fit_index(items, "category", "i").labels == expected
+    monkeypatch.setattr(records, "count_levels", lambda *_: None)
+    with pytest.raises(ValueError, match="too many"):
+        records.category_encoding(items)
 
 
 def test_index_of_null_and_unseen(spark):

@@ -9,6 +9,7 @@ from shelfwise.functions.text import space_tokens
 from shelfwise.operators import sizes
 from shelfwise.operators.attach import Skew, attach
 from shelfwise.operators.embedding import vocabulary
+from shelfwise.operators.rollup import attach_rating
 from shelfwise.plans.queries import QUERIES
 from shelfwise.sources import views
 from shelfwise.sources.catalog import preview
@@ -27,7 +28,8 @@ def no_broadcast(spark):
 
 
 def read_columns(text):
-    return {c.split(":")[0] for schema in re.findall(r"ReadSchema: struct<(.*)>", text) for c in re.split(r",(?=\w+:)", schema)}
+    schemas = re.findall(r"ReadSchema: struct<(.*)>", text)
+    return {column.split(":")[0] for schema in schemas for column in re.split(r",(?=\w+:)", schema)}
 
 
 def test_no_cross_join_and_no_python(plans):
@@ -94,6 +96,21 @@ def test_rating_rollup_shuffles_once_per_side(spark, sf_dir, no_broadcast):
     assert len(exchanges(text)) == 2
 
 
+def test_bucketed_tables_are_joined_in_place(spark, sf_dir, no_broadcast, tmp_path):
+    """Tables bucketed by the key are neither shuffled to count nor to join."""
+    tables = {"review": views.review(spark, sf_dir), "product": views.product(spark, sf_dir).select("asin", "title")}
+    for name, df in tables.items():
+        writer = df.write.bucketBy(4, "asin").sortBy("asin").mode("overwrite").option("path", f"{tmp_path}/{name}")
+        writer.saveAsTable(f"bucketed_{name}")
+    try:
+        rated = attach_rating(spark.table("bucketed_product"), spark.table("bucketed_review"))
+        assert exchanges(plan(rated)) == []
+        assert rated.count() == tables["product"].count()
+    finally:
+        for name in tables:
+            spark.sql(f"drop table bucketed_{name}")
+
+
 def test_neighbour_profile_shuffles(spark, sf_dir, no_broadcast):
     """Edges, values, means and items by key, and one row per task at the end."""
     text = plan(QUERIES["neighbour_price"](spark, sf_dir))
