@@ -2,34 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping, Sequence
-from contextlib import contextmanager
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 
-from pyspark import StorageLevel, inheritable_thread_target
+from pyspark import inheritable_thread_target
 from pyspark.ml.regression import DecisionTreeRegressionModel, DecisionTreeRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfwise.operators.keep import kept
 from shelfwise.operators.split import hash_split
 
 
-@contextmanager
-def kept(*tables: DataFrame) -> Iterator[tuple[DataFrame, ...]]:
-    """Keeps tables that several jobs read, in memory or else on disk.
-
-    Released at the end. Blocks lost with an executor are recomputed.
-    """
-    for table in tables:
-        table.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        yield tables
-    finally:
-        for table in tables:
-            table.unpersist()
-
-
 def rmse_of(label: str, prediction: str) -> Column:
     """Root mean squared error as an aggregate; null over no rows."""
     error = F.col(label) - F.col(prediction)

@@ -23,8 +23,9 @@ from shelfwise.operators.encode import (
     vector_mean,
     vector_rows,
 )
+from shelfwise.operators.keep import kept
 from shelfwise.operators.split import assign_split, hash_split
-from shelfwise.operators.trees import choose_depth, kept, rmse, tree_rmse
+from shelfwise.operators.trees import choose_depth, rmse, tree_rmse
 from shelfwise.plans import records
 from shelfwise.plans.queries import QUERY_WORDS
 from shelfwise.sources import views
