@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.functions.cleaning import fill_if_missing, text_or, to_float, valid_number
@@ -58,3 +58,44 @@ def impute_text(
 ) -> DataFrame:
     """Adds ``text`` with null and ``""`` replaced by ``default``."""
     return df.withColumn(name, text_or(text, default))
+
+
+def imputed_statistics(
+    df: DataFrame,
+    number: str = "price",
+    mean_name: str = "meanImputedPrice",
+    median_name: str = "medianImputedPrice",
+    accuracy: int = MEDIAN_ACCURACY,
+    *others: Column,
+) -> DataFrame:
+    """The profile of ``impute_number`` without imputing: one pass, not two.
+
+    The moments of the valid numbers give those of the filled columns: every
+    other row holds the fill value. ``others`` are further aggregates to take
+    along in the same pass.
+    """
+    valid = valid_number(to_float(number))
+    rows, known, centre, spread = F.col("count_total"), F.col("__known"), F.col("__mean"), F.col("__spread")
+
+    def mean_with(fill: Column) -> Column:
+        return F.try_divide(known * centre + (rows - known) * fill, rows)
+
+    def variance_with(fill: Column) -> Column:
+        mean = mean_with(fill)
+        squares = spread + known * F.pow(centre - mean, 2) + (rows - known) * F.pow(fill - mean, 2)
+        return F.try_divide(squares, rows - 1)
+
+    moments = df.agg(
+        F.count("*").alias("count_total"),
+        F.count(valid).alias("__known"),
+        F.coalesce(F.avg(valid), F.lit(0.0)).alias("__mean"),
+        F.coalesce(F.var_samp(valid) * (F.count(valid) - 1), F.lit(0.0)).alias("__spread"),
+        F.coalesce(F.percentile_approx(valid, 0.5, accuracy).cast("double"), F.lit(0.0)).alias("__median"),
+        *others,
+    )
+    filled = {}
+    for name, fill in ((mean_name, centre), (median_name, F.col("__median"))):
+        filled[f"mean_{name}"] = mean_with(fill)
+        filled[f"variance_{name}"] = variance_with(fill)
+        filled[f"numNulls_{name}"] = F.lit(0).cast("long")
+    return moments.withColumns(filled).drop("__known", "__mean", "__spread", "__median")

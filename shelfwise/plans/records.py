@@ -12,7 +12,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.functions.cleaning import valid_number
+from shelfwise.functions.cleaning import text_or, valid_number
 from shelfwise.functions.text import space_tokens
 from shelfwise.operators.attach import DEFAULT_SKEW, Skew
 from shelfwise.operators.embedding import fit_embedding, nearest
@@ -25,7 +25,7 @@ from shelfwise.operators.encode import (
     index_model,
 )
 from shelfwise.operators.flatten import flatten_category_and_rank
-from shelfwise.operators.impute import MEDIAN_ACCURACY, impute_number, impute_text
+from shelfwise.operators.impute import MEDIAN_ACCURACY, imputed_statistics
 from shelfwise.operators.neighbours import attach_neighbour_price
 from shelfwise.operators.profile import profile
 from shelfwise.operators.rollup import attach_rating
@@ -66,15 +66,8 @@ def neighbour_profile(product: DataFrame, skip_nan: bool = False, skew: Skew = D
 
 def impute_profile(product: DataFrame, accuracy: int = MEDIAN_ACCURACY) -> DataFrame:
     """Statistics of both imputed prices, and the number of unknown titles."""
-    columns = ["meanImputedPrice", "medianImputedPrice"]
-    imputed = impute_text(impute_number(product.select("price", "title"), accuracy=accuracy))
-    return profile(
-        imputed,
-        means=columns,
-        variances=columns,
-        nulls=columns,
-        matches={"numUnknowns_unknownImputedTitle": ("unknownImputedTitle", "unknown")},
-    )
+    unknown = F.count_if(text_or("title", "unknown") == "unknown").alias("numUnknowns_unknownImputedTitle")
+    return imputed_statistics(product, "price", "meanImputedPrice", "medianImputedPrice", accuracy, unknown)
 
 
 def title_embedding(

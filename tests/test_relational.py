@@ -5,7 +5,7 @@ import math
 import pytest
 from helpers import close, record, rows
 
-from shelfwise.operators.impute import fill_values, impute_number, impute_text
+from shelfwise.operators.impute import fill_values, impute_number, impute_text, imputed_statistics
 from shelfwise.operators.neighbours import attach_neighbour_price
 from shelfwise.operators.profile import profile
 from shelfwise.operators.rollup import attach_rating
@@ -149,6 +149,20 @@ def test_impute_profile(spark):
     assert summary["numUnknowns_unknownImputedTitle"] == 3
 
 
+@pytest.mark.parametrize(
+    "prices",
+    [[], [None], [4.0], [float("nan"), None], [4.0, None], [1.0, 2.0, 7.0, 7.0, None, float("nan"), 0.5], [3.0, 3.0]],
+)
+def test_imputed_statistics_are_those_of_the_imputed_rows(spark, prices):
+    items = spark.createDataFrame([(p,) for p in prices], "price float")
+    columns = ["meanImputedPrice", "medianImputedPrice"]
+    expected = record(profile(impute_number(items), means=columns, variances=columns, nulls=columns))
+    found = record(imputed_statistics(items))
+    assert set(found) == set(expected)
+    for name, value in expected.items():
+        assert found[name] == value or close(found[name], value, 1e-12), name
+
+
 def test_impute_text_keeps_input(spark):
     items = spark.createDataFrame([("",), ("t",)], "title string")
     assert rows(impute_text(items)) == [("", "unknown"), ("t", "t")]
