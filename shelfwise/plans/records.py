@@ -122,10 +122,9 @@ def category_encoding(processed: DataFrame, k: int = 15) -> DataFrame:
         indexed = index_model(levels, "category", "categoryIndex").transform(processed.select("category"))
         encoded = fit_onehot(indexed, "categoryIndex", "categoryOneHot").transform(indexed)
         components = fit_pca(encoded, "categoryOneHot", "categoryPCA", k)
-    mean = spark.range(1).select(
-        F.lit(sum(levels.counts)).cast("long").alias("count_total"),
-        array_to_vector(F.lit(levels.shares)).alias("categoryOneHot"),
-    )
+    mean = spark.createDataFrame(
+        [(sum(levels.counts), levels.shares)], "count_total bigint, shares array<double>"
+    ).select("count_total", array_to_vector("shares").alias("categoryOneHot"))
     return components.transform(mean).select(
         "count_total",
         vector_to_array("categoryOneHot").alias("meanVector_categoryOneHot"),
