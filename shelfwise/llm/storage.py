@@ -1,0 +1,39 @@
+"""Intermediate tables in the folder that all executors share."""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+
+SHARED_DIR = "spark.checkpoint.dir"
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder named by ``spark.checkpoint.dir``.
+
+    Where it is unset, a one-machine session gets a temporary folder of its own;
+    anything else is an error, since executors could not see such a folder.
+    """
+    folder = spark.conf.get(SHARED_DIR, None)
+    if folder:
+        return folder.rstrip("/")
+    master = spark.conf.get("spark.master", "")
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise ValueError(f"set {SHARED_DIR} to a folder that all executors share")
+    folder = tempfile.mkdtemp(prefix="shelfwise-")
+    spark.conf.set(SHARED_DIR, folder)
+    return folder
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The same rows, written once to the shared folder and read back.
+
+    This cuts lineage: what reads the result survives lost executors without
+    recomputing ``df``, and Spark knows the size of the table when it plans joins.
+    """
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
