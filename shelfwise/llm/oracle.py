@@ -1,5 +1,124 @@
-"""DuckDB SQL for the registered queries that SQL can express."""
+"""DuckDB SQL for the registered queries that SQL can express.
+
+None for op1 and op3 (learned models, a tokenizer's merges) and op7 (bounded-error
+matching): ``tests/llm`` holds those against brute force.
+"""
 
 from __future__ import annotations
 
-ORACLE: dict[str, str] = {}
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+ALNUM_WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+WHITE_WORDS = r"[^\x20\x09-\x0D]+"
+
+
+def _low(column: str) -> str:
+    return f"translate(coalesce({column}, ''), '{UPPER}', '{LOWER}')"
+
+
+SUFFIX_DEDUP = """
+with d as (select doc_id, hex(encode(coalesce(text, ''))) as h, strlen(coalesce(text, '')) as n from documents),
+ s as (select doc_id, unnest(generate_series(0, n - 50)) as p, h from d where n >= 50),
+ g as (select doc_id, p, substr(h, 2 * p + 1, 100) as w from s),
+ f as (select w, min(doc_id) as least from g group by w),
+ m as (select doc_id, p from g join f using (w) where least < doc_id),
+ e as (select doc_id, p, lag(p) over (partition by doc_id order by p) as q from m),
+ r as (select doc_id, p, sum(case when q is null or p > q + 50 then 1 else 0 end) over (partition by doc_id order by p) as k from e),
+ u as (select doc_id, k, min(p) as a, max(p) + 50 as b from r group by doc_id, k),
+ t as (select doc_id, a, b, lag(b, 1, 0) over (partition by doc_id order by a) as before from u),
+ v as (select doc_id, count(*) as n_spans, sum(b - a)::bigint as n_removed, max(b) as final,
+   string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' order by a) as head
+   from t join d using (doc_id) group by doc_id)
+select doc_id, n as n_bytes, coalesce(n_removed, 0) as n_removed, coalesce(n_spans, 0) as n_spans,
+  sha256(unhex(coalesce(head || substr(h, 2 * final + 1), h))) as kept_sha256
+from d left join v using (doc_id)
+"""
+
+_WORDS = f"regexp_extract_all(coalesce(text, ''), '{WHITE_WORDS}')"
+_FENCED = ("symbol_rate", "repeat_rate", "dup_line_rate", "word_length")
+_LIMITS = ", ".join(
+    f"quantile_disc({r}, 0.25) as {r}_low, quantile_disc({r}, 0.75) as {r}_high" for r in _FENCED
+)
+_SLACK = {"symbol_rate": 300, "repeat_rate": 500, "dup_line_rate": 2000, "word_length": 150}
+
+
+def _bound(rate: str, which: str) -> str:
+    return f"case when g.n >= 100 then g.{rate}_{which} when l.n >= 100 then l.{rate}_{which} end"
+
+
+_WITHIN = " and ".join(
+    [f"coalesce({r} <= {_bound(r, 'high')} + 3 * ({_bound(r, 'high')} - {_bound(r, 'low')}) + {_SLACK[r]}, true)" for r in _FENCED]
+    + [f"coalesce({r} >= {_bound(r, 'low')} - 3 * ({_bound(r, 'high')} - {_bound(r, 'low')}) - {_SLACK[r]}, true)" for r in ("word_length",)]
+)
+
+QUALITY_RULES = f"""
+with d as (select doc_id, lang, source, coalesce(text, '') as text, {_WORDS} as w,
+   [x for x in string_split(coalesce(text, ''), chr(10)) if regexp_matches(x, '[^\\x20\\x09-\\x0D]')] as lines from documents),
+ p as (select doc_id, unnest(range(0, len(w) - 4)) as i, w from d where len(w) >= 5),
+ h as (select doc_id, i, w[i + 1:i + 5] as win from p),
+ c as (select doc_id, i from (select doc_id, i, count(*) over (partition by doc_id, win) as k from h) where k > 1),
+ r as (select doc_id, count(distinct i + k)::bigint as n_repeat_words from c, (select unnest([0, 1, 2, 3, 4]) as k) group by doc_id),
+ s as (select doc_id, lang, source, len(w)::bigint as n_words,
+   coalesce(list_sum([length(x) for x in w]), 0)::bigint as word_chars,
+   len(regexp_extract_all(text, '[#*$%&|<>]'))::bigint as n_symbols, len(lines) as n_lines,
+   (len(lines) - len(list_distinct(lines)))::bigint as n_dup_lines, coalesce(n_repeat_words, 0) as n_repeat_words
+   from d left join r using (doc_id)),
+ t as (select *, n_words < 10 or 100 * n_repeat_words > 20 * n_words as base_failed,
+   10000 * n_symbols // greatest(word_chars, 1) as symbol_rate, 10000 * n_repeat_words // greatest(n_words, 1) as repeat_rate,
+   10000 * n_dup_lines // greatest(n_lines, 1) as dup_line_rate, 100 * word_chars // greatest(n_words, 1) as word_length from s),
+ g as (select lang, source, count(*) as n, {_LIMITS} from t where not base_failed group by lang, source),
+ l as (select lang, count(*) as n, {_LIMITS} from t where not base_failed group by lang)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  not base_failed and {_WITHIN} as kept
+from t left join g on t.lang is not distinct from g.lang and t.source is not distinct from g.source
+  left join l on t.lang is not distinct from l.lang
+"""
+
+URL_FILTER = f"""
+with u as (select page_id, case when strpos(url, '://') > 0 then substr(url, strpos(url, '://') + 3) else '' end as rest from pages),
+ p as (select page_id, translate(regexp_extract(rest, '^[^/?#]*', 0), '{UPPER}', '{LOWER}') as host,
+   regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path from u),
+ r(rule_host, rule_path, rule_verdict) as (values ('org', '/', 'allow'), ('example.org', '/es/', 'block'),
+   ('example.org', '/en/1', 'block'), ('com', '/fr/', 'allow'), ('com', '/de/', 'block')),
+ m as (select page_id, rule_host || rule_path as rule, rule_verdict,
+   row_number() over (partition by page_id order by length(rule_host || rule_path) desc, length(rule_host) desc, rule_verdict desc) as k
+   from p join r on (host = rule_host or ends_with(host, '.' || rule_host)) and starts_with(path, rule_path))
+select p.page_id, host, path, rule, coalesce(rule_verdict, 'allow') as verdict
+from p left join m on p.page_id = m.page_id and k = 1
+"""
+
+JACCARD_JOIN = f"""
+with recursive d as (select doc_id, regexp_extract_all({_low('text')}, '{WHITE_WORDS}') as w from documents),
+ i as (select doc_id, unnest(range(0, len(w) - 2)) as i, w from d where len(w) >= 3),
+ s as (select distinct doc_id, array_to_string(w[i + 1:i + 3], ' ') as s from i
+   union select doc_id, array_to_string(w, ' ') from d where len(w) between 1 and 2),
+ n as (select doc_id, count(*) as n from s group by doc_id),
+ p as (select a.doc_id as a, b.doc_id as b, count(*) as k from s a join s b on a.s = b.s and a.doc_id <> b.doc_id group by a.doc_id, b.doc_id),
+ e as (select a, b from p join n x on x.doc_id = a join n y on y.doc_id = b where 100 * k >= 90 * (x.n + y.n - k)),
+ c(doc_id, reached) as (select doc_id, doc_id from d union select c.doc_id, e.b from c join e on e.a = c.reached)
+select d.doc_id, coalesce(n.n, 0) as n_shingles, min(reached) as component_id
+from d left join n using (doc_id) join c using (doc_id) group by d.doc_id, n.n
+"""
+
+DECONTAMINATE = f"""
+with d as (select doc_id, regexp_extract_all({_low('text')}, '{ALNUM_WORDS}') as w from documents),
+ b as (select item_id, regexp_extract_all({_low('text')}, '{ALNUM_WORDS}') as w from benchmark),
+ q as (select item_id, unnest(range(0, greatest(len(w) - 9, 1))) as i, least(len(w), 10) as m, w from b where len(w) > 0),
+ z as (select distinct item_id, m, array_to_string(w[i + 1:i + m], ' ') as win from q),
+ k as (select distinct m from z),
+ o as (select doc_id, m, unnest(range(0, len(w) - m + 1)) as i, w from d, k where len(w) >= m),
+ v as (select doc_id, m, i, array_to_string(w[i + 1:i + m], ' ') as win from o),
+ f as (select doc_id, m, i, item_id from v join z using (m, win)),
+ t as (select doc_id, count(distinct j) as n_hit from (select doc_id, unnest(range(i, i + m)) as j from f) group by doc_id),
+ g as (select doc_id, count(*) as n_items, string_agg(item_id, ',' order by item_id) as items
+   from (select distinct doc_id, cast(item_id as varchar) as item_id from f) group by doc_id)
+select d.doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+  sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from d left join t using (doc_id) left join g using (doc_id)
+"""
+
+ORACLE: dict[str, str] = {
+    "op4_quality_rules": QUALITY_RULES,
+    "op8_url_filter": URL_FILTER,
+    "op9_jaccard_join": JACCARD_JOIN,
+    "op10_decontaminate": DECONTAMINATE,
+}

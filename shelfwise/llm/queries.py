@@ -5,7 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfwise.llm.decontaminate import decontaminate
+from shelfwise.llm.jaccard import jaccard_groups
 from shelfwise.llm.quality_rules import quality_rules
+from shelfwise.llm.url_filter import url_filter
+
+#: Rules of op8: host, path, verdict.
+URL_RULES = [
+    ("org", "/", "allow"),
+    ("example.org", "/es/", "block"),
+    ("example.org", "/en/1", "block"),
+    ("com", "/fr/", "allow"),
+    ("com", "/de/", "block"),
+]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +31,31 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *[s[c].alias(c) for c in columns])
 
 
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return url_filter(table(spark, sf_dir, "pages"), rules)
+
+
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_groups(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, benchmark = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark")
+    found = F.col("contamination")
+    return decontaminate(docs, benchmark, drop=("text",)).select(
+        "doc_id",
+        found["n_words"].alias("n_words"),
+        found["n_hit"].alias("n_hit"),
+        F.size(found["items"]).cast("long").alias("n_items"),
+        F.sha2(F.array_join(found["items"], ","), 256).alias("items_sha256"),
+        (found["n_hit"] > 0).alias("contaminated"),
+    )
+
+
 QUERIES = {
     "op4_quality_rules": op4_quality_rules,
+    "op8_url_filter": op8_url_filter,
+    "op9_jaccard_join": op9_jaccard_join,
+    "op10_decontaminate": op10_decontaminate,
 }
