@@ -237,7 +237,7 @@ def jaccard_groups(
     sketches = written(nodes.join(crowded, "node", "left_semi"), "sketches")
     texts = written(
         source.join(
-            sketches.select(F.col("of.key").alias("of_key"), F.col("of.id").alias("of_id"), "node"),
+            sketches.select(F.col("of.key").alias("of_key"), F.col("of.id").alias("of_id"), "node").hint("merge"),
             F.col("key").eqNullSafe(F.col("of_key")) & F.col("id").eqNullSafe(F.col("of_id")),
         )
         .select("node", "text")

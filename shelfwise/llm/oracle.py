@@ -6,6 +6,8 @@ matching): ``tests/llm`` holds those against brute force.
 
 from __future__ import annotations
 
+from shelfwise.llm.secret_scan import BASE_RULES, RULES, Rule
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 ALNUM_WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WHITE_WORDS = r"[^\x20\x09-\x0D]+"
@@ -116,8 +118,48 @@ select d.doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0) as n_hit, coalesc
 from d left join t using (doc_id) left join g using (doc_id)
 """
 
+_LINES = """select doc_id, source, generate_subscripts(string_split(text, chr(10)), 1) as place,
+   unnest(string_split(text, chr(10))) as line from documents"""
+
+LINE_DEDUP = f"""
+with l as ({_LINES}),
+ b as (select line, min(doc_id) as home from l where regexp_matches(line, '[^\\x20\\x09-\\x0D]')
+   group by line having count(distinct source) >= 5),
+ k as (select l.*, home, row_number() over (partition by doc_id, l.line order by place) as turn from l left join b on l.line = b.line),
+ s as (select *, home is not null and not (home = doc_id and turn = 1) as gone from k),
+ t as (select doc_id, count(*) as n_lines, count(*) filter (gone) as n_removed,
+   coalesce(string_agg(line, chr(10) order by place) filter (not gone), '') as kept from s group by doc_id)
+select doc_id, coalesce(n_lines, 0) as n_lines, coalesce(n_removed, 0) as n_removed, case when text is not null then sha256(kept) end as kept_sha256
+from documents left join t using (doc_id)
+"""
+
+
+def _rule(rule: Rule, number: int) -> str:
+    pattern = rule.pattern.replace("'", "''")
+    found = ", ".join(f"regexp_extract_all(coalesce(text, ''), '{p}', {g})" for p, g in (
+        (f"(?s)(.*?)({pattern})", 1), (f"({pattern})", 1), (f"({pattern})", rule.group + 1)))
+    return f"""select doc_id, '{rule.kind}' as kind, {number} as number, unnest(range(1, len(w) + 1)) as i, g, w, j
+   from (select doc_id, x[1] as g, x[2] as w, x[3] as j from (select doc_id, [{found}] as x from documents)) where len(w) > 0"""
+
+
+SECRET_SCAN = f"""
+with m as ({" union all ".join(_rule(rule, k) for k, rule in enumerate(RULES))}),
+ p as (select doc_id, kind, number, list_sum([length(x) for x in g[:i]])::bigint + coalesce(list_sum([length(x) for x in w[:i - 1]]), 0)::bigint as a,
+   length(w[i]) as n, length(j[i]) as judged from m),
+ l(kind, least) as (values {", ".join(f"('{rule.kind}', {rule.least})" for rule in RULES)}),
+ s as (select doc_id, kind, number, a, concat_ws(':', kind, a, a + n) as span from p join l using (kind) where judged >= least),
+ t as (select doc_id, {", ".join(f"count(*) filter (kind = '{rule.kind}') as n_{rule.kind}" for rule in BASE_RULES)},
+   string_agg(span, ',' order by a, number) filter (number < {len(BASE_RULES)}) as base, string_agg(span, ',' order by a, number) as spans
+   from s group by doc_id)
+select doc_id, {", ".join(f"coalesce(n_{rule.kind}, 0) as n_{rule.kind}" for rule in BASE_RULES)},
+  sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans
+from documents left join t using (doc_id)
+"""
+
 ORACLE: dict[str, str] = {
     "op4_quality_rules": QUALITY_RULES,
+    "op5_line_dedup": LINE_DEDUP,
+    "op6_secret_scan": SECRET_SCAN,
     "op8_url_filter": URL_FILTER,
     "op9_jaccard_join": JACCARD_JOIN,
     "op10_decontaminate": DECONTAMINATE,
