@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.llm.decontaminate import decontaminate
@@ -62,12 +62,14 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup(docs).select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def _of_kind(kind: str) -> Column:
+    return F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long")
+
+
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
     base = F.filter("secrets", lambda s: s["number"] < len(BASE_RULES))
-    counts = [
-        F.size(F.filter("secrets", lambda s, kind=rule.kind: s["kind"] == kind)).cast("long").alias(f"n_{rule.kind}") for rule in BASE_RULES
-    ]
+    counts = [_of_kind(rule.kind).alias(f"n_{rule.kind}") for rule in BASE_RULES]
     return found.select("doc_id", *counts, F.sha2(as_text(base), 256).alias("base_sha256"), as_text(F.col("secrets")).alias("spans"))
 
 

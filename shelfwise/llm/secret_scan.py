@@ -66,12 +66,12 @@ def postings(texts: DataFrame, trigrams: Sequence[str]) -> DataFrame:
     return texts.select("key", F.explode(present).alias("trigram"))
 
 
-def _holds(query: Query, numbers: dict[str, int]) -> Column:
-    """Whether the bits of a document satisfy the query."""
+def _holds(query: Query) -> Column:
+    """Whether the trigrams of a document satisfy the query."""
+    contains = {t: F.array_contains("trigrams", t) for t in query.trigrams}
 
     def alternative(trigrams) -> Column:
-        mask = sum(1 << numbers[t] for t in trigrams)
-        return F.col("bits").bitwiseAND(F.lit(mask)) == mask
+        return reduce(Column.__and__, [contains[t] for t in sorted(trigrams)])
 
     clauses = [reduce(Column.__or__, map(alternative, sorted(clause, key=sorted))) for clause in query.clauses]
     return reduce(Column.__and__, clauses)
@@ -79,23 +79,11 @@ def _holds(query: Query, numbers: dict[str, int]) -> Column:
 
 def candidates(texts: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """(key, kinds): the kinds, of rules with trigrams, that may occur in each text."""
-    found = None
     queries = {rule.kind: trigram_query(rule.pattern) for rule in rules}
     asked = sorted({t for query in queries.values() for t in query.trigrams})
-    for start in range(0, len(asked), 62):  # bits of a whole number
-        part = asked[start : start + 62]
-        table = postings(texts, part)
-        number = F.create_map(*[x for k, t in enumerate(part) for x in (F.lit(t), F.lit(1 << k))])
-        bits = table.groupBy("key").agg(F.bit_or(F.element_at(number, F.col("trigram"))).alias("bits"))
-        numbers = {t: k for k, t in enumerate(part)}
-        # a query whose trigrams are spread over parts is asked part by part
-        asks = {
-            kind: Query(frozenset(c for c in query.clauses if all(t in numbers for a in c for t in a))) for kind, query in queries.items()
-        }
-        kinds = F.array_compact(F.array(*[F.when(_holds(q, numbers), kind) for kind, q in asks.items() if q.clauses]))
-        hit = bits.select("key", F.explode(kinds).alias("kind"))
-        found = hit if found is None else found.unionByName(hit)
-    return found
+    present = postings(texts, asked).groupBy("key").agg(F.collect_set("trigram").alias("trigrams"))
+    kinds = F.array_compact(F.array(*[F.when(_holds(query), kind) for kind, query in queries.items()]))
+    return present.select("key", kinds.alias("kinds")).where(F.size("kinds") > 0)
 
 
 def _matches(text: Column, rule: Rule, number: int) -> Column:
@@ -135,7 +123,7 @@ def secret_scan(docs: DataFrame, text: str = "text", rules: Sequence[Rule] = RUL
     kinds, joined = f"{into}_kinds_", left
     if indexed:
         texts = left.select(key.alias("key"), whole.alias("text"))
-        likely = candidates(texts, indexed).groupBy(F.col("key").alias(f"{into}_of_")).agg(F.collect_set("kind").alias(kinds))
+        likely = candidates(texts, indexed).select(F.col("key").alias(f"{into}_of_"), F.col("kinds").alias(kinds))
         joined = left.join(likely, key == F.col(f"{into}_of_"), "left")
     none = F.array().cast("array<struct<start:int,number:int,end:int,kind:string>>")
     spans = [
