@@ -1,23 +1,19 @@
 """Joining a table to a lookup that holds one row per key.
 
-Adaptive execution splits a skewed side only when the join reads both sides
-straight from a shuffle. A lookup that was just aggregated sits behind its
-aggregate, so that rule does not apply, and a key holding a third of the rows
-would be one task. ``attach`` therefore spreads such keys itself: the rows of
-a hot key go to several parts, and its single lookup row is copied to each.
+Adaptive execution splits a skewed side only where its bytes stand out, and many
+narrow rows of one key are few bytes. ``attach`` therefore spreads hot keys itself,
+at every size of the table: the rows of a hot key are dealt out to several parts,
+and its single lookup row is copied to each.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from shelfwise.operators.sizes import estimated_bytes
-
-_PART, _PARTS = "__part", "__parts"
+_PART, _PARTS, _HOT = "__part", "__parts", "__hot_key"
 
 
 @dataclass(frozen=True)
@@ -26,33 +22,29 @@ class Skew:
 
     ``rows_per_task``: a key with more rows than this is spread over
     ``ceil(rows / rows_per_task)`` parts.
-    ``max_hot_keys``: only this many of the hottest keys are spread, which
-    bounds the broadcast list. Keys beyond it take the ordinary join, so the
-    result does not depend on this number.
-    ``check_over_bytes``: keys are counted only if Spark estimates the table
-    to be larger than this; 0 always counts.
+    ``tracked``: keys that the sketch of frequent keys tracks. A key is found if
+    it holds more than 1 / ``tracked`` of the rows or so, and one that is not
+    takes the ordinary join, so the result does not depend on this number.
     """
 
-    rows_per_task: int = 4_000_000
-    max_hot_keys: int = 10_000
-    check_over_bytes: int = 64 << 20
+    rows_per_task: int = 1_000_000
+    tracked: int = 4096
 
 
 DEFAULT_SKEW = Skew()
 
 
-def hot_keys(df: DataFrame, key: str, skew: Skew = DEFAULT_SKEW) -> list[Row]:
-    """(key, parts) of the hottest keys, null included; at most ``max_hot_keys``.
+def hot_keys(df: DataFrame, key: str, skew: Skew = DEFAULT_SKEW) -> DataFrame:
+    """(__hot_key, __parts) of the keys with more than ``rows_per_task`` rows.
 
-    Reads the key column only. Counts are combined before the shuffle.
+    Lazy: a narrow pass over the key column with a sketch of bounded size per
+    task, merged into one row, so at most a quarter of ``tracked`` keys come out.
+    Nulls are not looked at.
     """
-    counts = df.groupBy(key).agg(F.count("*").alias("rows"))
-    return (
-        counts.filter(F.col("rows") > skew.rows_per_task)
-        .orderBy(F.desc("rows"))
-        .limit(skew.max_hot_keys)
-        .select(key, F.ceil(F.col("rows") / skew.rows_per_task).cast("int").alias(_PARTS))
-        .collect()
+    top = F.expr(f"approx_top_k(`{key}`, {max(1, skew.tracked // 4)}, {skew.tracked})")
+    found = df.where(F.col(f"`{key}`").isNotNull()).agg(top.alias("top")).select(F.explode("top").alias("top"))
+    return found.where(F.col("top.count") > skew.rows_per_task).select(
+        F.col("top.item").alias(_HOT), F.ceil(F.col("top.count") / skew.rows_per_task).cast("int").alias(_PARTS)
     )
 
 
@@ -67,52 +59,42 @@ def attach(
 
     ``lookup`` must hold one row per key (an aggregate by ``key``), so the
     result never has more rows than ``table``. ``table`` may repeat keys
-    without limit. Give ``table`` only the columns you need: spreading hashes
-    them all.
+    without limit. Nothing runs before the result does: the hot keys are part of
+    the plan, and where there are none adaptive execution drops their branch.
+    Rows without a key are not joined at all.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"how must be 'left' or 'inner', not {how!r}")
-    if estimated_bytes(table) <= skew.check_over_bytes:
-        return table.join(lookup, key, how)
-    hot = hot_keys(table, key, skew)
-    if not hot:
-        return table.join(lookup, key, how)
-    return _spread_join(table, lookup, key, how, hot)
-
-
-def _spread_join(table: DataFrame, lookup: DataFrame, key: str, how: str, hot: list[Row]) -> DataFrame:
-    hot_key = "__hot_key"
-    hot_type = T.StructType(
-        [
-            T.StructField(hot_key, table.schema[key].dataType),
-            T.StructField(_PARTS, T.IntegerType()),
-        ]
-    )
-    parts = F.broadcast(table.sparkSession.createDataFrame([tuple(row) for row in hot], hot_type))
-
-    spread = (
-        table.join(parts, table[key].eqNullSafe(parts[hot_key]), "left")
-        .withColumn(_PART, F.when(F.col(_PARTS).isNull(), F.lit(0)).otherwise(_part_of(table)))
-        .drop(hot_key, _PARTS)
-    )
-    copies = (
-        lookup.join(parts, lookup[key] == parts[hot_key], "left")
-        .withColumn(_PART, F.explode(F.sequence(F.lit(0), F.coalesce(_PARTS, F.lit(1)) - 1)))
-        .drop(hot_key, _PARTS)
-    )
-    return spread.join(copies, [key, _PART], how).drop(_PART)
-
-
-def _part_of(table: DataFrame) -> Column:
-    """A part number that a rerun of the same task repeats.
-
-    Hashing the row with the number of its input partition spreads equal rows
-    too, and, unlike ``rand`` or a row counter, does not depend on the order
-    in which a recomputed partition yields its rows.
+    hot = F.broadcast(hot_keys(table, key, skew))  # at most a quarter of ``tracked`` rows
+    keyed = table.where(F.col(key).isNotNull())
+    cold = keyed.join(hot, keyed[key] == hot[_HOT], "left_anti").join(lookup, key, how)
+    spread = keyed.join(hot, keyed[key] == hot[_HOT]).drop(_HOT)
+    copies = lookup.join(hot, lookup[key] == hot[_HOT]).drop(_HOT)
+    copies = copies.withColumn(_PART, F.explode(F.sequence(F.lit(0), F.col(_PARTS) - 1))).drop(_PARTS)
+    dealt = dealt_out(spread, F.col(_PARTS), _PART).drop(_PARTS)
+    joined = cold.unionByName(dealt.join(copies, [key, _PART], how).drop(_PART))
+    if how == "inner":
+        return joined
+    missing = [F.lit(None).cast(f.dataType).alias(f.name) for f in lookup.schema if f.name != key]
+    return joined.unionByName(table.where(F.col(key).isNull()).select("*", *missing))
+
+
+def dealt_out(df: DataFrame, parts: Column, name: str) -> DataFrame:
+    """Adds a part number that goes round within each input partition.
+
+    The rows of a partition are put in order first, so equal rows are dealt out
+    evenly too, and a recomputed task repeats its numbers whatever order its
+    rows come in: rows that tie are equal.
     """
     hashable = [
         field.name
-        for field in table.schema.fields
+        for field in df.schema.fields
         if not any(kind in field.dataType.simpleString() for kind in ("map<", "variant"))
     ]
-    return F.pmod(F.xxhash64(F.spark_partition_id(), *hashable), F.col(_PARTS)).cast("int")
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    ordered = df.sortWithinPartitions(F.xxhash64(*hashable), *[c for c in hashable if _orderable(df, c)])
+    return ordered.withColumn(name, F.pmod(place + F.spark_partition_id(), parts).cast("int"))
+
+
+def _orderable(df: DataFrame, column: str) -> bool:
+    return "interval" not in df.schema[column].dataType.simpleString()

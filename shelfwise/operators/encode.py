@@ -2,74 +2,43 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
-from pyspark.ml.feature import (
-    PCA,
-    OneHotEncoder,
-    OneHotEncoderModel,
-    PCAModel,
-    StringIndexer,
-    StringIndexerModel,
-)
+from pyspark.ml.feature import PCA, OneHotEncoder, OneHotEncoderModel, PCAModel, StringIndexerModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# The widest indicator vector whose covariance Spark's PCA accepts.
-MAX_LEVELS = 65_535
-# Up to this width the components come from the counts; see fit_onehot_pca.
-MAX_COUNTED_WIDTH = 2_000
+# The widest vector whose components Spark's PCA computes.
+MAX_PCA_WIDTH = 65_535
+_SPREAD = 16
 
 
-@dataclass(frozen=True)
-class Levels:
-    """The categories, most frequent first, ties by label, with their counts."""
+def count_levels(df: DataFrame, category: str) -> DataFrame:
+    """(label, n, position, share) of every category; ``""`` is one, null is not.
 
-    labels: list[str]
-    counts: list[int]
-    nulls: int
-
-    @property
-    def shares(self) -> list[float]:
-        total = sum(self.counts)
-        return [n / total for n in self.counts]
-
-
-def count_levels(df: DataFrame, category: str, max_levels: int = MAX_LEVELS) -> Levels | None:
-    """Counts every row of ``df`` by category; ``""`` is one, null is not.
-
-    An ordinary grouping, combined before the shuffle, so that the categories
-    do not all meet in one task as they do in ``StringIndexer``. Its result
-    goes to the driver, as the labels of any index model do, unless there are
-    more than ``max_levels``: then the answer is ``None``.
+    Position 0 is the most frequent; ties go by label, in code point order. An
+    ordinary grouping, combined before the shuffle, so that the rows of all
+    categories do not meet in one task as they do in ``StringIndexer``; only one
+    row per category is put in order.
     """
-    counts = df.groupBy(category).agg(F.count("*").alias("n"))
-    found = counts.limit(max_levels + 2).collect()
-    levels = sorted((-row["n"], row[category]) for row in found if row[category] is not None)
-    if len(levels) > max_levels:
-        return None
-    nulls = sum(row["n"] for row in found if row[category] is None)
-    return Levels([label for _, label in levels], [-n for n, _ in levels], nulls)
-
-
-def index_model(levels: Levels, category: str, output: str, handle_invalid: str = "error") -> StringIndexerModel:
-    return StringIndexerModel.from_labels(levels.labels, category, output, handle_invalid)
+    counts = df.where(F.col(category).isNotNull()).groupBy(F.col(category).alias("label")).agg(F.count("*").alias("n"))
+    ordered = Window.orderBy(F.desc("n"), "label")
+    whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return counts.select(
+        "label", "n", (F.row_number().over(ordered) - 1).alias("position"), (F.col("n") / F.sum("n").over(whole)).alias("share")
+    )
 
 
 def fit_index(df: DataFrame, category: str, output: str, handle_invalid: str = "error") -> StringIndexerModel:
     """Index 0 is the most frequent category; ties go by label.
 
-    Equal to a fitted ``StringIndexer``. Nulls are passed over here; on
-    transform they and unseen categories raise unless ``handle_invalid`` says
-    otherwise.
+    Like a fitted ``StringIndexer``, but for ties between labels beyond the basic
+    plane, which go by code point here. The labels pass through the driver, as in
+    any index model. Nulls are passed over here; on transform they and unseen
+    categories raise unless ``handle_invalid`` says otherwise.
     """
-    levels = count_levels(df, category)
-    if levels is None:
-        indexer = StringIndexer(inputCol=category, outputCol=output, handleInvalid=handle_invalid)
-        return indexer.fit(df.select(category))
-    return index_model(levels, category, output, handle_invalid)
+    labels = [row["label"] for row in count_levels(df, category).orderBy("position").select("label").collect()]
+    return StringIndexerModel.from_labels(labels, category, output, handle_invalid)
 
 
 def fit_onehot(df: DataFrame, index: str, output: str) -> OneHotEncoderModel:
@@ -86,18 +55,27 @@ def fit_pca(df: DataFrame, vector: str, output: str, k: int = 15) -> PCAModel:
     return PCA(k=k, inputCol=vector, outputCol=output).fit(df.select(vector))
 
 
-def fit_onehot_pca(spark: SparkSession, levels: Levels, vector: str, output: str, k: int = 15) -> PCAModel:
-    """The components of the indicator vectors of ``levels``, from their counts.
+def shares_of(levels: DataFrame) -> DataFrame:
+    """One row ``shares``: the mean indicator vector, from the counts."""
+    return levels.agg(F.transform(F.array_sort(F.collect_list(F.struct("position", "share"))), lambda x: x["share"]).alias("shares"))
+
+
+def fit_onehot_pca(levels: DataFrame, vector: str, output: str, k: int = 15) -> PCAModel:
+    """The components of the indicator vectors, from ``count_levels``.
 
     Indicators with shares p have covariance diag(p) - pp'. The 2 x width rows
     +-sqrt(p_i) (e_i - p) have mean zero and, up to a factor, the same
     covariance, hence the same components and explained shares. So the table
-    itself is not read again.
+    itself is not read again. Widths that Spark's PCA cannot do raise
+    ``ValueError``.
     """
-    shares = F.lit(levels.shares)
-    scale = F.col("sign") * F.sqrt(F.get(shares, F.col("id").cast("int")))
-    rows = spark.range(0, len(levels.labels), 1, 1).withColumn("sign", F.explode(F.array(F.lit(1.0), F.lit(-1.0))))
-    entries = F.transform(shares, lambda p, i: scale * (F.when(i == F.col("id"), 1.0).otherwise(0.0) - p))
+    width = levels.count()
+    if width > MAX_PCA_WIDTH:
+        raise ValueError(f"{width} categories are too many for principal components; {MAX_PCA_WIDTH} at most")
+    dealt = levels.select("position", "share").repartition(_SPREAD, "position")
+    rows = dealt.withColumn("sign", F.explode(F.array(F.lit(1.0), F.lit(-1.0)))).withColumn("shares", shares_of(levels).scalar())
+    scale = F.col("sign") * F.sqrt("share")
+    entries = F.transform("shares", lambda p, i: scale * (F.when(i == F.col("position"), 1.0).otherwise(0.0) - p))
     return fit_pca(rows.select(array_to_vector(entries).alias(vector)), vector, output, k)
 
 

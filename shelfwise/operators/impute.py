@@ -2,28 +2,51 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwise.functions.cleaning import fill_if_missing, text_or, to_float, valid_number
 
-# 1 / accuracy is the relative rank error of the median.
-MEDIAN_ACCURACY = 1000
+#: Bins of a factor of e; the values of a float that share a bin are few.
+_BINS = 64
 
 
-def fill_values(df: DataFrame, number: str, accuracy: int = MEDIAN_ACCURACY) -> DataFrame:
+def median(df: DataFrame, number: str) -> DataFrame:
+    """One row ``median``: the middle value of ``number`` (the lower of two).
+
+    Exact, and the same in every run. Rows are counted per distinct value, combined
+    before the shuffle; the counts are added up per bin of nearby values, and only
+    the values of the bin that holds the middle are put in order. Bins are
+    logarithmic, 12,000 at most for floats, so neither step meets many rows in one
+    task. Nulls and NaN are passed over; without a number the result is null.
+    """
+    column, value = F.col(number), F.col("value").cast("double")
+    size = F.floor(F.log(F.least(F.greatest(F.abs(value), F.lit(1e-300)), F.lit(1e300))) * _BINS) + F.lit(1 << 20)
+    bin_ = F.when(value == 0, F.lit(0)).otherwise(F.signum(value) * size).cast("long")
+    counts = df.where(column.isNotNull() & ~F.isnan(column)).groupBy(column.alias("value")).count().withColumn("bin", bin_)
+    by_bin = counts.groupBy("bin").agg(F.sum("count").alias("rows"))
+    upwards = Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
+    whole = Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    reached = by_bin.select(
+        "bin", "rows", (F.sum("rows").over(upwards) - F.col("rows")).alias("before"), F.sum("rows").over(whole).alias("total")
+    )
+    middle = reached.where((2 * F.col("before") < F.col("total")) & (2 * (F.col("before") + F.col("rows")) >= F.col("total")))
+    inside = counts.join(F.broadcast(middle.select("bin", "before", "total")), "bin")  # one row
+    until = F.col("before") + F.sum("count").over(Window.partitionBy("bin").orderBy("value"))
+    return (
+        inside.select("value", "total", until.alias("until")).where(2 * F.col("until") >= F.col("total")).agg(F.min("value").alias("median"))
+    )
+
+
+def fill_values(df: DataFrame, number: str) -> DataFrame:
     """One row ``fills`` = struct(mean, median) over the valid numbers.
 
-    Both come from one aggregate over one column. The median is an element of
-    the data, found from mergeable summaries whose size depends on
-    ``accuracy`` alone. Without any valid number both are 0.0.
+    Without any valid number both are 0.0.
     """
-    valid = valid_number(to_float(number))
-    return df.agg(
-        F.struct(
-            F.coalesce(F.avg(valid), F.lit(0.0)).alias("mean"),
-            F.coalesce(F.percentile_approx(valid, 0.5, accuracy).cast("double"), F.lit(0.0)).alias("median"),
-        ).alias("fills")
+    valid = df.select(valid_number(to_float(number)).alias("valid"))
+    middle = median(valid, "valid").scalar()
+    return valid.agg(F.coalesce(F.avg("valid"), F.lit(0.0)).alias("mean")).select(
+        F.struct("mean", F.coalesce(middle.cast("double"), F.lit(0.0)).alias("median")).alias("fills")
     )
 
 
@@ -32,14 +55,13 @@ def impute_number(
     number: str = "price",
     mean_name: str = "meanImputedPrice",
     median_name: str = "medianImputedPrice",
-    accuracy: int = MEDIAN_ACCURACY,
 ) -> DataFrame:
     """``number`` as a float, plus copies filled with the mean and the median.
 
     The fill values enter as a scalar subquery: no driver round trip and no
     join, and the table is projected in place.
     """
-    fills = fill_values(df, number, accuracy).scalar()
+    fills = fill_values(df, number).scalar()
     as_float = to_float(number)
     return df.withColumns(
         {
@@ -58,44 +80,3 @@ def impute_text(
 ) -> DataFrame:
     """Adds ``text`` with null and ``""`` replaced by ``default``."""
     return df.withColumn(name, text_or(text, default))
-
-
-def imputed_statistics(
-    df: DataFrame,
-    number: str = "price",
-    mean_name: str = "meanImputedPrice",
-    median_name: str = "medianImputedPrice",
-    accuracy: int = MEDIAN_ACCURACY,
-    *others: Column,
-) -> DataFrame:
-    """The profile of ``impute_number`` without imputing: one pass, not two.
-
-    The moments of the valid numbers give those of the filled columns: every
-    other row holds the fill value. ``others`` are further aggregates to take
-    along in the same pass.
-    """
-    valid = valid_number(to_float(number))
-    rows, known, centre, spread = F.col("count_total"), F.col("__known"), F.col("__mean"), F.col("__spread")
-
-    def mean_with(fill: Column) -> Column:
-        return F.try_divide(known * centre + (rows - known) * fill, rows)
-
-    def variance_with(fill: Column) -> Column:
-        mean = mean_with(fill)
-        squares = spread + known * F.pow(centre - mean, 2) + (rows - known) * F.pow(fill - mean, 2)
-        return F.try_divide(squares, rows - 1)
-
-    moments = df.agg(
-        F.count("*").alias("count_total"),
-        F.count(valid).alias("__known"),
-        F.coalesce(F.avg(valid), F.lit(0.0)).alias("__mean"),
-        F.coalesce(F.var_samp(valid) * (F.count(valid) - 1), F.lit(0.0)).alias("__spread"),
-        F.coalesce(F.percentile_approx(valid, 0.5, accuracy).cast("double"), F.lit(0.0)).alias("__median"),
-        *others,
-    )
-    filled = {}
-    for name, fill in ((mean_name, centre), (median_name, F.col("__median"))):
-        filled[f"mean_{name}"] = mean_with(fill)
-        filled[f"variance_{name}"] = variance_with(fill)
-        filled[f"numNulls_{name}"] = F.lit(0).cast("long")
-    return moments.withColumns(filled).drop("__known", "__mean", "__spread", "__median")

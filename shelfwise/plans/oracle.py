@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from shelfwise.operators.split import bounds
 from shelfwise.plans.queries import (
     LOOKUP_ASIN,
     QUERY_VECTORS,
+    QUERY_WORDS,
     SEED,
     TEST_SEED,
+    TEST_SPLIT,
+    VALID_SPLIT,
 )
 
 REVIEW = """
@@ -52,12 +56,13 @@ flat as (
   from product
 )"""
 
-NEIGHBOUR = f"""{PRODUCT},
+def _neighbour(skip_nan: bool) -> str:
+    return f"""{PRODUCT},
 edge as (select asin, unnest(also_viewed) as viewed from product),
 near as (
   select e.asin, avg(cast(p.price as double)) as mean_price
   from edge e join product p on e.viewed = p.asin
-  where p.price is not null and not isnan(p.price)
+  where p.price is not null{' and not isnan(p.price)' if skip_nan else ''}
   group by e.asin
 ),
 priced as (
@@ -67,6 +72,8 @@ priced as (
   from product p left join near n on p.asin = n.asin
 )"""
 
+NEIGHBOUR, NEIGHBOUR_NAN = _neighbour(True), _neighbour(False)
+
 IMPUTED = f"""{PRODUCT},
 valid as (select price from product where price is not null and not isnan(price)),
 fill as (
@@ -106,21 +113,23 @@ def _distinct(column: str) -> str:
     return f'count(distinct "{column}") as "countDistinct_{column}"'
 
 
-def _bucket(seed: int, key: str) -> str:
-    return f"cast('0x' || substr(md5('{seed}:' || {key}), 1, 8) as ubigint) % 10000"
+def _below(seed: int, key: str, weights: list[float]) -> str:
+    """Whether a row belongs to the first of two parts."""
+    number = f"cast('0x' || substr(md5('{seed}:' || {key}), 1, 15) as ubigint)"
+    return f"{number} < {bounds(weights, 'md5')[0]}"
 
 
 TYPE_PARTS = f"""
 sized as (
-  select p_partkey, p_type, cast(p_size as double) as y, {_bucket(TEST_SEED, 'p_partkey')} < 8000 as in_train
+  select p_partkey, p_type, cast(p_size as double) as y, {_below(TEST_SEED, 'p_partkey', TEST_SPLIT)} as in_train
   from part
 )"""
 
 _TYPE_RMSE = "sqrt(avg((s.y - m.mean) * (s.y - m.mean)))"
 
 DEPTH_BY_TYPE = f"""{TYPE_PARTS},
-fitting as (select * from sized where in_train and {_bucket(SEED, 'p_partkey')} < 7500),
-validation as (select * from sized where in_train and {_bucket(SEED, 'p_partkey')} >= 7500),
+fitting as (select * from sized where in_train and {_below(SEED, 'p_partkey', VALID_SPLIT)}),
+validation as (select * from sized where in_train and not {_below(SEED, 'p_partkey', VALID_SPLIT)}),
 means as (select p_type, avg(y) as mean from fitting group by p_type),
 valid as (select {_TYPE_RMSE} as rmse from validation s join means m using (p_type)),
 test as (select {_TYPE_RMSE} as rmse from sized s join means m using (p_type) where not in_train)"""
@@ -133,6 +142,45 @@ ORACLE: dict[str, str] = {
         select count(*) as count_total,
           round(avg(cast(price as double)) filter (where not isnan(price)), 6) as mean_price
         from product""",
+    "price_mean_nan": f"""with {PRODUCT},
+        m as (select count(*) as count_total, avg(cast(price as double)) as mean_price from product)
+        select count_total, isnan(mean_price) as "is_nan_mean_price",
+          case when not isnan(mean_price) then round(mean_price, 6) end as mean_price
+        from m""",
+    "neighbour_price_nan": f"""with {NEIGHBOUR_NAN}
+        select asin, "countAlsoViewed", coalesce(isnan("meanPriceAlsoViewed"), false) as "is_nan_meanPriceAlsoViewed",
+          case when not isnan("meanPriceAlsoViewed") then round("meanPriceAlsoViewed", 6) end as "meanPriceAlsoViewed"
+        from priced""",
+    "neighbour_profile_nan": f"""with {NEIGHBOUR_NAN},
+        whole as (select bool_or(isnan("meanPriceAlsoViewed")) as nan from priced)
+        select count(*) as count_total, any_value(nan) as "is_nan_mean_meanPriceAlsoViewed",
+          any_value(nan) as "is_nan_variance_meanPriceAlsoViewed",
+          case when not any_value(nan) then round(avg("meanPriceAlsoViewed") filter (where not isnan("meanPriceAlsoViewed")), 6) end
+            as "mean_meanPriceAlsoViewed",
+          case when not any_value(nan) then round(var_samp("meanPriceAlsoViewed") filter (where not isnan("meanPriceAlsoViewed")), 6) end
+            as "variance_meanPriceAlsoViewed",
+          {_nulls('meanPriceAlsoViewed')}, {_statistics('countAlsoViewed')}, {_nulls('countAlsoViewed')}
+        from priced, whole""",
+    "record_saved": f"""with {RATED}
+        select count(*) as count_total, {_statistics('meanRating')}, {_nulls('meanRating')},
+          {_statistics('countRating')}, {_nulls('countRating')}, 7 as n_keys
+        from rated where asin = {LOOKUP_ASIN}""",
+    "preview_whole": "select 5::bigint as n_rows, 6 as n_columns, 5::bigint as n_known",
+    "title_embedding_counts": f"""with {VOCABULARY}
+        select (select count(*) from documents) as count_total, (select count(*) from vocabulary) as size_vocabulary,
+          {', '.join(f"""(select cast(least(10, count(*) - 1) as int) from vocabulary
+            where '{word}' in (select word from vocabulary)) as word_{i}_length""" for i, word in enumerate(QUERY_WORDS))}""",
+    "category_encoding_full": f"""with {CATEGORY},
+        share as (select position, n / (select count(*) from part) as p from label)
+        select (select count(*) from part) as count_total, round((select sum(p * p) from share), 6) as squared_mean,
+          cast(position as int) as position, round(p, 6) as share
+        from share""",
+    "category_pca": f"""with {CATEGORY}
+        select p_partkey as asin, cast((select count(*) from label) as int) as width, cast(1 as double) as squared_length from part""",
+    "tree_baseline_by_type": f"""with {TYPE_PARTS},
+        means as (select p_type, avg(y) as mean from sized where in_train group by p_type)
+        select round({_TYPE_RMSE}, 6) as test_rmse
+        from sized s join means m using (p_type) where not in_train""",
     "rating_rollup": f"""with {RATED}
         select asin, round("meanRating", 6) as "meanRating", "countRating" from rated""",
     "rating_profile": f"""with {RATED}
@@ -188,7 +236,7 @@ ORACLE: dict[str, str] = {
           round(sum(p * (1 - p) * total / (total - 1)), 6) as total_variance
         from share""",
     "hash_split": f"""
-        select vec_id, case when {_bucket(SEED, 'vec_id')} < 7500 then 0 else 1 end as split
+        select vec_id, case when {_below(SEED, 'vec_id', VALID_SPLIT)} then 0 else 1 end as split
         from embeddings""",
     "rmse_metric": f"""with {REVIEW},
         rated as (select asin, overall, avg(overall) over (partition by asin) as mean
@@ -200,7 +248,7 @@ ORACLE: dict[str, str] = {
         from sized s join means m using (p_type) where not in_train""",
     "tree_depth_zero": f"""
         with labelled as (
-          select cast(label as double) as y, {_bucket(TEST_SEED, 'vec_id')} < 8000 as in_train from embeddings
+          select cast(label as double) as y, {_below(TEST_SEED, 'vec_id', TEST_SPLIT)} as in_train from embeddings
         ),
         means as (select avg(y) as mean from labelled where in_train)
         select round(sqrt(avg((y - mean) * (y - mean))), 6) as test_rmse

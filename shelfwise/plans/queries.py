@@ -6,6 +6,7 @@ summation order does not show.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.ml.functions import vector_to_array
@@ -16,7 +17,15 @@ from pyspark.sql import functions as F
 from shelfwise.functions.text import space_tokens
 from shelfwise.operators.attach import attach
 from shelfwise.operators.embedding import fit_embedding, nearest, vocabulary
-from shelfwise.operators.encode import fit_index, fit_onehot, fit_pca, vector_mean, vector_rows
+from shelfwise.operators.encode import (
+    count_levels,
+    fit_index,
+    fit_onehot,
+    fit_onehot_pca,
+    fit_pca,
+    vector_mean,
+    vector_rows,
+)
 from shelfwise.operators.flatten import flatten_category_and_rank
 from shelfwise.operators.impute import impute_number, impute_text
 from shelfwise.operators.neighbours import attach_neighbour_price
@@ -25,14 +34,13 @@ from shelfwise.operators.split import assign_split, hash_split
 from shelfwise.operators.trees import rmse, tree_rmse
 from shelfwise.plans import records
 from shelfwise.sources import views
-from shelfwise.sources.catalog import preview
+from shelfwise.sources.catalog import preview, save_record
+from shelfwise.sources.shared import shared_dir
 
 SEED = 7
 TEST_SEED = 11
 TEST_SPLIT = [0.8, 0.2]
 VALID_SPLIT = [0.75, 0.25]
-# Fine enough that the median is exact on the test tables.
-EXACT_MEDIAN = 10_000
 LOOKUP_ASIN = 100
 QUERY_WORDS = ["and", "der", "de"]
 QUERY_VECTORS = [3, 141, 414]
@@ -82,12 +90,12 @@ def neighbour_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def impute_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = views.product(spark, sf_dir).select("asin", "price", "title")
-    imputed = impute_text(impute_number(items, accuracy=EXACT_MEDIAN))
+    imputed = impute_text(impute_number(items))
     return rounded(imputed.drop("price", "title"), "meanImputedPrice", "medianImputedPrice")
 
 
 def impute_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    record = records.impute_profile(views.product(spark, sf_dir), accuracy=EXACT_MEDIAN)
+    record = records.impute_profile(views.product(spark, sf_dir))
     return rounded(
         record,
         "mean_meanImputedPrice",
@@ -97,6 +105,78 @@ def impute_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _nan_apart(df: DataFrame, *columns: str) -> DataFrame:
+    """A flag for NaN, and the number where it is one."""
+    flags = {f"is_nan_{c}": F.coalesce(F.isnan(c), F.lit(False)) for c in columns}
+    return rounded(df.withColumns(flags).withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in columns}), *columns)
+
+
+def price_mean_nan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One NaN price makes the mean NaN."""
+    return _nan_apart(records.warmup_profile(views.product(spark, sf_dir)), "mean_price")
+
+
+def neighbour_price_nan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _nan_apart(attach_neighbour_price(views.product(spark, sf_dir)), "meanPriceAlsoViewed")
+
+
+def neighbour_profile_nan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    record = records.neighbour_profile(views.product(spark, sf_dir))
+    means = _nan_apart(record, "mean_meanPriceAlsoViewed", "variance_meanPriceAlsoViewed")
+    return rounded(means, "mean_countAlsoViewed", "variance_countAlsoViewed")
+
+
+def record_saved(spark: SparkSession, sf_dir: str, root: str | None = None) -> DataFrame:
+    """The rating record of one product, whose variances are null, saved and read back."""
+    one = views.product(spark, sf_dir).where(F.col("asin") == LOOKUP_ASIN)
+    record = records.rating_profile(views.review(spark, sf_dir), one)
+    path = save_record(record, root or shared_dir(spark), f"rating_record-{uuid.uuid4().hex}")
+    kept = spark.read.text(path)
+    read = spark.read.schema(record.schema).json(path)
+    keys = kept.select(F.size(F.json_object_keys("value")).alias("n_keys")).scalar()
+    return rounded(read.withColumn("n_keys", keys), "mean_meanRating", "mean_countRating")
+
+
+def preview_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many rows and columns a preview has, and that its rows are of the table."""
+    items = views.product(spark, sf_dir)
+    shown = preview(items, 5)
+    known = shown.join(items.select("asin", F.col("title").alias("known_title")), "asin")
+    same = F.col("title").eqNullSafe(F.col("known_title"))
+    return known.agg(F.count("*").alias("n_rows"), F.lit(len(shown.columns)).alias("n_columns"), F.count_if(same).alias("n_known"))
+
+
+def title_embedding_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    record = title_embedding(spark, sf_dir)
+    lengths = [F.size(f"word_{i}_synonyms").alias(f"word_{i}_length") for i in range(len(QUERY_WORDS))]
+    return record.select("count_total", "size_vocabulary", *lengths)
+
+
+def category_encoding_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """At full width the squared length of the mean component vector depends neither
+    on signs nor on axes."""
+    items = views.categories(spark, sf_dir)
+    record = records.category_encoding(items, items.select("category").distinct().count())
+    squares = F.aggregate(F.transform("meanVector_categoryPCA", lambda x: x * x), F.lit(0.0), lambda a, b: a + b)
+    rows = record.select("count_total", squares.alias("squared_mean"), F.posexplode("meanVector_categoryOneHot").alias("position", "share"))
+    return rounded(rows, "squared_mean", "share")
+
+
+def category_pca(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row encoded at full width, where its squared length must be 1."""
+    items = views.categories(spark, sf_dir)
+    levels = count_levels(items, "category")
+    model = fit_onehot_pca(levels, "categoryOneHot", "categoryPCA", levels.count())
+    encoded = model.transform(_onehot(items)).select("asin", vector_to_array("categoryPCA").alias("v"))
+    squares = F.aggregate(F.transform("v", lambda x: x * x), F.lit(0.0), lambda a, b: a + b)
+    return rounded(encoded.select("asin", F.size("v").alias("width"), squares.alias("squared_length")), "squared_length")
+
+
+def tree_baseline_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    train, test = _type_parts(spark, sf_dir)
+    return rounded(records.tree_baseline(train, test, SEED), "test_rmse")
+
+
 def price_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = views.product(spark, sf_dir)
     return preview(items.where(F.col("asin") == LOOKUP_ASIN), 5, "asin", "title", "price")
@@ -236,6 +316,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "price_lookup": price_lookup,
     "product_preview": product_preview,
     "price_mean": price_mean,
+    "price_mean_nan": price_mean_nan,
+    "neighbour_price_nan": neighbour_price_nan,
+    "neighbour_profile_nan": neighbour_profile_nan,
+    "record_saved": record_saved,
+    "preview_whole": preview_whole,
+    "title_embedding_counts": title_embedding_counts,
+    "category_encoding_full": category_encoding_full,
+    "category_pca": category_pca,
+    "tree_baseline_by_type": tree_baseline_by_type,
     "rating_rollup": rating_rollup,
     "rating_profile": rating_profile,
     "category_flatten": category_flatten,

@@ -12,24 +12,18 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.functions.cleaning import text_or, valid_number
+from shelfwise.functions.cleaning import valid_number
 from shelfwise.functions.text import space_tokens
 from shelfwise.operators.attach import DEFAULT_SKEW, Skew
 from shelfwise.operators.embedding import fit_embedding, nearest
-from shelfwise.operators.encode import (
-    MAX_COUNTED_WIDTH,
-    count_levels,
-    fit_onehot,
-    fit_onehot_pca,
-    fit_pca,
-    index_model,
-)
+from shelfwise.operators.encode import count_levels, fit_onehot_pca, shares_of
 from shelfwise.operators.flatten import flatten_category_and_rank
-from shelfwise.operators.impute import MEDIAN_ACCURACY, imputed_statistics
+from shelfwise.operators.impute import impute_number, impute_text
 from shelfwise.operators.neighbours import attach_neighbour_price
 from shelfwise.operators.profile import profile
 from shelfwise.operators.rollup import attach_rating
 from shelfwise.operators.trees import choose_depth, rmse, tree_rmse
+from shelfwise.sources.shared import written
 
 
 def warmup_profile(product: DataFrame, skip_nan: bool = False) -> DataFrame:
@@ -64,10 +58,16 @@ def neighbour_profile(product: DataFrame, skip_nan: bool = False, skew: Skew = D
     return profile(priced, means=columns, variances=columns, nulls=columns)
 
 
-def impute_profile(product: DataFrame, accuracy: int = MEDIAN_ACCURACY) -> DataFrame:
+def impute_profile(product: DataFrame) -> DataFrame:
     """Statistics of both imputed prices, and the number of unknown titles."""
-    unknown = F.count_if(text_or("title", "unknown") == "unknown").alias("numUnknowns_unknownImputedTitle")
-    return imputed_statistics(product, "price", "meanImputedPrice", "medianImputedPrice", accuracy, unknown)
+    columns = ["meanImputedPrice", "medianImputedPrice"]
+    return profile(
+        impute_text(impute_number(product.select("price", "title"))),
+        means=columns,
+        variances=columns,
+        nulls=columns,
+        matches={"numUnknowns_unknownImputedTitle": ("unknownImputedTitle", "unknown")},
+    )
 
 
 def title_embedding(
@@ -101,30 +101,23 @@ def title_embedding(
     )
 
 
+def category_means(processed: DataFrame) -> DataFrame:
+    """count_total and the mean indicator vector; any number of categories."""
+    return _means(processed, count_levels(processed, "category"))
+
+
 def category_encoding(processed: DataFrame, k: int = 15) -> DataFrame:
     """count_total and the mean indicator and mean component vectors.
 
-    One pass over the category column counts the categories. The shares are
-    the mean indicator vector, and fix the components too, unless there are so
-    many categories that the rows are the smaller input. The projection is
-    linear and not centred, so the mean of the projected rows is the projected
-    mean row: only one vector is projected.
+    One pass over the category column counts the categories; the counts are kept in
+    the shared folder. The shares are the mean indicator vector, and fix the
+    components too. The projection is linear and not centred, so the mean of the
+    projected rows is the projected mean row. Raises where the components cannot be
+    computed; ``category_means`` has the rest of the record.
     """
-    spark = processed.sparkSession
-    levels = count_levels(processed, "category")
-    if levels is None:
-        raise ValueError("too many categories for principal components")
-    if levels.nulls:
-        raise ValueError(f"{levels.nulls} rows have no category")
-    if len(levels.labels) <= MAX_COUNTED_WIDTH:
-        components = fit_onehot_pca(spark, levels, "categoryOneHot", "categoryPCA", k)
-    else:
-        indexed = index_model(levels, "category", "categoryIndex").transform(processed.select("category"))
-        encoded = fit_onehot(indexed, "categoryIndex", "categoryOneHot").transform(indexed)
-        components = fit_pca(encoded, "categoryOneHot", "categoryPCA", k)
-    mean = spark.createDataFrame(
-        [(sum(levels.counts), levels.shares)], "count_total bigint, shares array<double>"
-    ).select("count_total", array_to_vector("shares").alias("categoryOneHot"))
+    levels = written(count_levels(processed, "category"), "levels")
+    components = fit_onehot_pca(levels, "categoryOneHot", "categoryPCA", k)
+    mean = _means(processed, levels).select("count_total", array_to_vector("meanVector_categoryOneHot").alias("categoryOneHot"))
     return components.transform(mean).select(
         "count_total",
         vector_to_array("categoryOneHot").alias("meanVector_categoryOneHot"),
@@ -132,15 +125,32 @@ def category_encoding(processed: DataFrame, k: int = 15) -> DataFrame:
     )
 
 
+def _means(processed: DataFrame, levels: DataFrame) -> DataFrame:
+    """A row without a category raises when the result is made."""
+    counts = processed.agg(F.count("*").alias("count_total"), F.count_if(F.col("category").isNull()).alias("without"))
+    message = F.concat(F.col("without").cast("string"), F.lit(" rows have no category"))
+    total = F.when(F.col("without") == 0, F.col("count_total")).otherwise(F.raise_error(message))
+    return counts.select(total.alias("count_total"), shares_of(levels).scalar().alias("meanVector_categoryOneHot"))
+
+
 def tree_baseline(train: DataFrame, test: DataFrame, seed: int) -> DataFrame:
     """test_rmse of a tree of depth 5."""
     return tree_rmse(train, test, seed)
 
 
 def depth_selection(
-    train: DataFrame, test: DataFrame, keys: Sequence[str], seed: int, **options: object
+    train: DataFrame, test: DataFrame, keys: Sequence[str] | None = None, seed: int = 0, **options: object
 ) -> DataFrame:
-    """test_rmse of the chosen tree, and valid_rmse_depth_<d> per depth."""
+    """test_rmse of the chosen tree, and valid_rmse_depth_<d> per depth.
+
+    Without ``keys`` a row is told from others by its id, if it has one, and by its
+    features and rating.
+    """
+    if keys is None:
+        row = "__row"
+        ids = [c for c in train.columns if c not in ("features", "overall")]
+        train = train.withColumn(row, F.to_json(F.struct(*ids, vector_to_array("features").alias("features"), "overall")))
+        keys = [row]
     choice = choose_depth(train, keys, seed, **options)
     scored = choice.model.transform(test.select("features", "overall"))
     errors = {f"valid_rmse_depth_{d}": F.lit(e) for d, e in choice.errors.items()}

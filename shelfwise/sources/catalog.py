@@ -24,7 +24,8 @@ PRODUCT_PROCESSED = (
     T.StructType().add("asin", T.StringType()).add("title", T.StringType()).add("category", T.StringType())
 )
 
-ML_FEATURES = T.StructType().add("features", VectorUDT()).add("overall", T.DoubleType())
+#: Files without a row id read as null ids.
+ML_FEATURES = T.StructType().add("id", T.StringType()).add("features", VectorUDT()).add("overall", T.DoubleType())
 
 SCHEMAS: Mapping[str, T.StructType] = {
     "review": REVIEW,
@@ -67,7 +68,11 @@ def preview(df: DataFrame, n: int = 5, *columns: str) -> DataFrame:
 
 
 def save_record(record: DataFrame, root: str, name: str, fmt: str = "json") -> str:
-    """Writes a one-row result under its name, replacing an earlier one."""
+    """Writes a one-row result under its name, replacing an earlier one.
+
+    Every key is kept: a null statistic is written as null, NaN as NaN.
+    """
     path = f"{root.rstrip('/')}/{name}"
-    record.write.mode("overwrite").format(fmt).save(path)
+    writer = record.write.mode("overwrite").format(fmt)
+    (writer.option("ignoreNullFields", "false") if fmt == "json" else writer).save(path)
     return path

@@ -16,7 +16,7 @@ from shelfwise.operators.neighbours import attach_neighbour_price
 from shelfwise.operators.rollup import attach_rating
 
 NAN = float("nan")
-SKEWS = [Skew(), Skew(rows_per_task=5, check_over_bytes=0)]
+SKEWS = [Skew(), Skew(rows_per_task=5)]
 PRODUCT = "asin string, price float, related map<string,array<string>>"
 
 
@@ -106,7 +106,7 @@ def test_imputation(spark, seed):
     prices = [rng.choice([None, "x", "NaN", str(rng.randrange(1, 50))]) for _ in range(201)]
     valid = sorted(float(p) for p in prices if p not in (None, "x", "NaN"))
     mean, median = fmean(valid), valid[math.ceil(len(valid) / 2) - 1]
-    found = impute_number(spark.createDataFrame([(p,) for p in prices], "price string"), accuracy=10_000)
+    found = impute_number(spark.createDataFrame([(p,) for p in prices], "price string"))
     for price, (kept, by_mean, by_median) in zip(prices, found.collect()):
         known = price not in (None, "x", "NaN")
         assert close(by_mean, float(price) if known else mean)

@@ -24,11 +24,12 @@ from shelfwise.operators.encode import (
     vector_rows,
 )
 from shelfwise.operators.keep import kept
-from shelfwise.operators.split import assign_split, hash_split
+from shelfwise.operators.split import assign_split, hash_split, number
 from shelfwise.operators.trees import choose_depth, rmse, tree_rmse
 from shelfwise.plans import records
 from shelfwise.plans.queries import QUERY_WORDS
 from shelfwise.sources import views
+from shelfwise.sources.catalog import load_catalog
 
 
 # --- words ---------------------------------------------------------------
@@ -91,6 +92,33 @@ def test_nearest_on_arrays(spark):
     assert nearest(vectors, []).count() == 0
 
 
+def test_nearest_passes_over_bad_vectors(spark):
+    bad = [("n", None), ("q", [float("nan"), 1.0]), ("e", [None, 1.0])]
+    vectors = spark.createDataFrame([("x", [1.0, 0.0]), ("w", [-1.0, 0.0]), *bad], "word string, vector array<float>")
+    assert rows(nearest(vectors, ["x", "n", "q", "e"], 4)) == [("x", 1, "w", -1.0)]
+    with pytest.raises(ValueError, match="n"):
+        nearest(vectors, ["n"], on_missing="error")
+
+
+def test_nearest_refuses_unequal_widths(spark):
+    vectors = spark.createDataFrame([("x", [1.0, 0.0]), ("w", [1.0])], "word string, vector array<float>")
+    with pytest.raises(Exception, match="unequal widths"):
+        nearest(vectors, ["x"]).collect()
+
+
+def test_parts_do_not_follow_the_session(spark, tokens, monkeypatch):
+    seen = []
+    monkeypatch.setattr("shelfwise.operators.embedding.Word2Vec.fit", lambda self, df: seen.append((self.getNumPartitions(), df.rdd.getNumPartitions())))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for n in ("4", "8", "200"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            fit_embedding(tokens, "words", "vector", seed=1)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert seen == [(4, 4)] * 3
+
+
 def test_null_token_list_fails(spark):
     with_null = spark.sql("select array('a') as words union all select cast(null as array<string>)")
     with pytest.raises(Exception):
@@ -125,16 +153,19 @@ def test_index_equals_string_indexer(spark, sf_dir):
         assert rows(found.transform(items)) == rows(expected.transform(items))
 
 
-def test_too_many_categories(spark, sf_dir, monkeypatch):
-    items = views.categories(spark, sf_dir, "p_type")
-    assert count_levels(items, "category", max_levels=5) is None
-    assert len(count_levels(items, "category", max_levels=6).labels) == 6
-    expected = fit_index(items, "category", "i").labels
-    monkeypatch.setattr(encode, "count_levels", lambda *_: None)
-    assert fit_index(items, "category", "i").labels == expected
-    monkeypatch.setattr(records, "count_levels", lambda *_: None)
-    with pytest.raises(ValueError, match="too many"):
-        records.category_encoding(items)
+@pytest.mark.parametrize("width", [10, 600, 70_000])
+def test_any_number_of_categories(spark, width):
+    items = spark.range(0, width + 1, 1, 4).select(F.concat(F.lit("c"), F.col("id") % width).alias("category"))
+    assert len(fit_index(items, "category", "i").labels) == width
+    found = record(records.category_means(items))
+    assert found["count_total"] == width + 1
+    shares = found["meanVector_categoryOneHot"]
+    assert len(shares) == width and close(shares[0], 2 / (width + 1)) and close(sum(shares), 1.0)
+    if width > encode.MAX_PCA_WIDTH:
+        with pytest.raises(ValueError, match="too many"):
+            records.category_encoding(items)
+    else:
+        assert len(record(records.category_encoding(items, k=3))["meanVector_categoryPCA"]) == 3
 
 
 def test_index_of_null_and_unseen(spark):
@@ -161,9 +192,9 @@ def test_onehot_keeps_every_level(encoded):
     shares = [r["value"] for r in vector_rows(vector_mean(encoded, hot="hot"), "hot").orderBy("position").collect()]
     assert close(sum(shares), 1.0)
     assert shares == sorted(shares, reverse=True)
-    levels = count_levels(encoded, "category")
-    assert sum(levels.counts) == encoded.count() and levels.nulls == 0
-    assert np.allclose(levels.shares, shares, atol=1e-12)
+    levels = count_levels(encoded, "category").orderBy("position").collect()
+    assert sum(r["n"] for r in levels) == encoded.count()
+    assert np.allclose([r["share"] for r in levels], shares, atol=1e-12)
 
 
 def test_mean_of_projection_is_projection_of_mean(spark, sf_dir, encoded):
@@ -181,7 +212,7 @@ def test_mean_of_projection_is_projection_of_mean(spark, sf_dir, encoded):
 def test_components_from_counts(spark, sf_dir, encoded):
     """Axes agree up to sign; where shares tie, the planes they span do."""
     from_rows = fit_pca(encoded, "hot", "pca", 15)
-    from_counts = fit_onehot_pca(spark, count_levels(encoded, "category"), "hot", "pca", 15)
+    from_counts = fit_onehot_pca(count_levels(encoded, "category"), "hot", "pca", 15)
     variance = from_rows.explainedVariance.toArray()
     assert np.allclose(from_counts.explainedVariance.toArray(), variance, atol=1e-9)
     a, b = from_rows.pc.toArray(), from_counts.pc.toArray()
@@ -191,18 +222,10 @@ def test_components_from_counts(spark, sf_dir, encoded):
     assert np.allclose(np.abs(np.sum(a * b, axis=0))[alone], 1.0, atol=1e-6)
 
 
-def test_many_categories_fit_on_rows(spark, sf_dir, monkeypatch):
-    expected = record(records.category_encoding(views.categories(spark, sf_dir), k=3))
-    monkeypatch.setattr(records, "MAX_COUNTED_WIDTH", 10)
-    found = record(records.category_encoding(views.categories(spark, sf_dir), k=3))
-    assert found["meanVector_categoryOneHot"] == expected["meanVector_categoryOneHot"]
-    assert np.allclose(np.abs(found["meanVector_categoryPCA"]), np.abs(expected["meanVector_categoryPCA"]), atol=1e-9)
-
-
 def test_encoding_of_null_category_fails(spark):
     items = spark.createDataFrame([("a",), ("b",), (None,)], "category string")
-    with pytest.raises(ValueError, match="1 rows"):
-        records.category_encoding(items, k=1)
+    with pytest.raises(Exception, match="1 rows"):
+        records.category_encoding(items, k=1).collect()
 
 
 def test_components_are_orthonormal(encoded):
@@ -238,6 +261,27 @@ def test_split_weights(spark):
     assert all(abs(sizes[i] / 30_000 - w) < 0.02 for i, w in enumerate([0.2, 0.3, 0.5]))
 
 
+@pytest.mark.parametrize("digest", ["xxhash64", "md5"])
+def test_small_parts_are_not_lost(spark, digest):
+    ids = spark.range(0, 2_000_000, 1, 8)
+    found = hash_split(ids, ["id"], [0.99996, 0.00004], 5, digest)
+    assert 45 <= found[1].count() <= 120
+    assert assign_split(ids, ["id"], [1, 0, 0], 5, digest=digest).where("split > 0").isEmpty()
+    assert assign_split(ids, ["id"], [0, 0, 1], 5, digest=digest).where("split < 2").isEmpty()
+
+
+@pytest.mark.parametrize("weights", [[1, -1], [0, 0], [float("nan"), 1]])
+def test_split_of_bad_weights(spark, weights):
+    with pytest.raises(ValueError):
+        assign_split(spark.range(1), ["id"], weights, 1)
+
+
+@pytest.mark.parametrize("digest", ["xxhash64", "md5"])
+def test_nulls_among_keys_are_told_apart(spark, digest):
+    pairs = spark.createDataFrame([("a", None), (None, "a")], "x string, y string")
+    assert pairs.select(number(["x", "y"], 1, digest)).distinct().count() == 2
+
+
 def test_split_digest_name(spark):
     with pytest.raises(ValueError):
         assign_split(spark.range(1), ["id"], [1, 1], 1, digest="crc")
@@ -282,6 +326,20 @@ def test_depth_choice_fits_on_the_split_only(tables):
     assert all(close(found[f"valid_rmse_depth_{d}"], e) for d, e in choice.errors.items())
 
 
+def test_depth_selection_on_catalogue_tables(spark, sf_dir, tmp_path):
+    """With row ids in the files, and without."""
+    features = views.ml_features(spark, sf_dir)
+    for name, columns in (("with", [F.col("vec_id").cast("string").alias("id"), "features", "overall"]), ("without", ["features", "overall"])):
+        for part, df in zip(("train", "test"), hash_split(features, ["vec_id"], [0.8, 0.2], 3), strict=True):
+            df.select(*columns).write.parquet(f"{tmp_path}/{name}_{part}")
+        paths = {f"ml_features_{part}": f"{tmp_path}/{name}_{part}" for part in ("train", "test")}
+        tables = load_catalog(spark, paths)
+        found = record(records.depth_selection(tables["ml_features_train"], tables["ml_features_test"]))
+        assert found["test_rmse"] > 0
+        ids = tables["ml_features_train"].where("id is not null").count()
+        assert (ids > 0) == (name == "with")
+
+
 def test_depth_tie_takes_the_shallower(spark):
     points = spark.range(0, 400).select(
         "id",

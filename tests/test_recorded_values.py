@@ -4,7 +4,7 @@ import pytest
 from helpers import close, record
 
 from shelfwise.plans import records
-from shelfwise.plans.queries import EXACT_MEDIAN, tokens_vocabulary
+from shelfwise.plans.queries import tokens_vocabulary
 from shelfwise.sources import views
 
 SF_DIR = "/root/testdata/sf0.01"
@@ -68,7 +68,7 @@ def test_neighbour(product):
 
 def test_impute(product):
     check(
-        records.impute_profile(product, accuracy=EXACT_MEDIAN),
+        records.impute_profile(product),
         {
             "mean_meanImputedPrice": 949.97169449577,
             "variance_meanImputedPrice": 649.2294869162,

@@ -4,11 +4,11 @@ import pytest
 from helpers import plan, rows
 from pyspark.sql import functions as F
 
-from shelfwise.operators.attach import Skew, _spread_join, attach, hot_keys
+from shelfwise.operators.attach import Skew, attach, dealt_out, hot_keys
 from shelfwise.operators.neighbours import attach_neighbour_price
 from shelfwise.operators.rollup import attach_rating
 
-ALWAYS = Skew(rows_per_task=50, check_over_bytes=0)
+ALWAYS = Skew(rows_per_task=50)
 
 
 @pytest.fixture(scope="module")
@@ -25,18 +25,19 @@ def lookup(spark):
     return spark.range(0, 2000).select(F.col("id").alias("asin"), (F.col("id") * 10).alias("value"))
 
 
-def test_hot_keys_are_counted_with_null(skewed):
-    assert {r[0]: r[1] for r in hot_keys(skewed, "asin", ALWAYS)} == {7: 21, None: 20}
+def test_hot_keys_are_found(skewed):
+    assert [tuple(r) for r in hot_keys(skewed, "asin", ALWAYS).collect()] == [(7, 21)]
 
 
-def test_hot_keys_are_bounded(skewed):
-    assert [r[0] for r in hot_keys(skewed, "asin", Skew(50, max_hot_keys=1, check_over_bytes=0))] == [7]
+def test_hot_keys_are_bounded(spark):
+    many = spark.range(0, 5000).select((F.col("id") % 500).alias("asin"))
+    assert hot_keys(many, "asin", Skew(rows_per_task=1, tracked=64)).count() <= 16
 
 
 @pytest.mark.parametrize("how", ["left", "inner"])
-@pytest.mark.parametrize("limit", [1, 10])
-def test_spread_join_changes_nothing(skewed, lookup, how, limit):
-    skew = Skew(50, max_hot_keys=limit, check_over_bytes=0)
+@pytest.mark.parametrize("tracked", [64, 4096])
+def test_spread_join_changes_nothing(skewed, lookup, how, tracked):
+    skew = Skew(50, tracked=tracked)
     found = attach(skewed, lookup, "asin", how, skew)
     plain = skewed.join(lookup, "asin", how)
     assert found.columns == plain.columns
@@ -54,17 +55,36 @@ def shuffled_joins(spark):
         spark.conf.unset(name)
 
 
+def tasks(joined, hot):
+    """Rows of a key by the task that joins them."""
+    chosen = joined.filter(F.col("asin").eqNullSafe(F.lit(hot)))
+    return [r["count"] for r in chosen.groupBy(F.spark_partition_id()).count().collect()]
+
+
 @pytest.mark.parametrize("hot", [7, None])
 def test_hot_rows_reach_many_tasks(skewed, lookup, shuffled_joins, hot):
-    def tasks(joined):
-        chosen = joined.filter(F.col("asin").eqNullSafe(F.lit(hot)))
-        return chosen.groupBy(F.spark_partition_id()).count().count()
+    spread = attach(skewed, lookup, "asin", "left", ALWAYS)
+    assert "SortMergeJoin" in plan(spread) and "NestedLoop" not in plan(spread)
+    assert len(tasks(skewed.join(lookup, "asin", "left"), hot)) == 1
+    assert len(tasks(spread, hot)) > 1
+
 
-    spread = _spread_join(skewed, lookup, "asin", "left", hot_keys(skewed, "asin", ALWAYS))
-    assert "SortMergeJoin" in plan(spread)
-    assert "BroadcastHashJoin" in plan(spread) and "NestedLoop" not in plan(spread)
-    assert tasks(skewed.join(lookup, "asin", "left")) == 1
-    assert tasks(spread) > 1
+def test_many_narrow_rows_of_one_key_with_default_settings(spark, tmp_path):
+    """20 million rows of one key in a small file: no part beyond a tenth of its share."""
+    spark.range(0, 20_000_000, 1, 4).select(F.lit(7).alias("asin")).write.parquet(f"{tmp_path}/hot")
+    table = spark.read.parquet(f"{tmp_path}/hot")
+    parts = hot_keys(table, "asin").collect()
+    assert [tuple(r) for r in parts] == [(7, 20)]
+    dealt = dealt_out(table.withColumn("parts", F.lit(20)), F.col("parts"), "part")
+    assert all(abs(r["count"] - 1_000_000) <= 100_000 for r in dealt.groupBy("part").count().collect())
+    lookup = spark.createDataFrame([(7, 1.0)], "asin int, value double").groupBy("asin").agg(F.sum("value").alias("value"))
+    assert attach(table, lookup, "asin").agg(F.sum("value")).first()[0] == 20_000_000
+
+
+def test_equal_rows_of_one_partition_are_dealt_out(spark):
+    equal = spark.range(0, 4_000_000, 1, 1).select(F.lit(7).alias("asin"), F.lit(3).alias("length"), F.lit(10).alias("parts"))
+    found = dealt_out(equal, F.col("parts"), "part").groupBy("part").count().collect()
+    assert len(found) == 10 and all(abs(r["count"] - 400_000) <= 40_000 for r in found)
 
 
 def test_map_columns_are_carried(spark, skewed, lookup):
@@ -94,13 +114,16 @@ def test_neighbours_with_a_hot_target(spark):
         (F.col("id") % 7).cast("float").alias("price"),
         F.create_map(F.lit("also_viewed"), F.array(F.lit(1), F.lit(1), F.col("id"))).alias("related"),
     )
-    expected = (
-        items.select("asin", F.explode("related.also_viewed").alias("to"))
-        .join(items.select(F.col("asin").alias("to"), "price"), "to")
-        .groupBy("asin")
-        .agg(F.round(F.avg("price"), 9).alias("mean"))
-    )
+    price = {i: float(i % 7) for i in range(900)}
+    named = {}  # item -> prices of the rows that bear its number
+    for i in range(900):
+        named.setdefault(1 if i % 3 == 0 else i, []).append(price[i])
+    seen = {}
+    for i in range(900):
+        for to in (1, 1, i):
+            seen.setdefault(1 if i % 3 == 0 else i, []).extend(named.get(to, []))
+    expected = sorted((asin, round(sum(p) / len(p), 9)) for asin, p in seen.items())
     for skew in (ALWAYS, Skew()):
         found = attach_neighbour_price(items, skew=skew)
         assert found.count() == 900
-        assert rows(found.select("asin", F.round("meanPriceAlsoViewed", 9)).distinct()) == rows(expected)
+        assert rows(found.select("asin", F.round("meanPriceAlsoViewed", 9)).distinct(), "asin") == expected

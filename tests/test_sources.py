@@ -15,7 +15,7 @@ def test_catalogue_round_trip(spark, tmp_path):
     )
     product.write.parquet(f"{tmp_path}/product")
     spark.createDataFrame([("a", 4.0)], catalog.REVIEW).write.parquet(f"{tmp_path}/review")
-    spark.createDataFrame([(Vectors.dense([1.0, 2.0]), 3.0)], catalog.ML_FEATURES).write.parquet(f"{tmp_path}/train")
+    spark.createDataFrame([("r1", Vectors.dense([1.0, 2.0]), 3.0)], catalog.ML_FEATURES).write.parquet(f"{tmp_path}/train")
     tables = catalog.load_catalog(
         spark,
         {"product": f"{tmp_path}/product", "review": f"{tmp_path}/review", "ml_features_train": f"{tmp_path}/train"},
@@ -68,3 +68,12 @@ def test_views_use_every_source_row(spark, sf_dir):
     assert views.titles(spark, sf_dir).count() == size("documents")
     assert views.categories(spark, sf_dir).count() == size("part")
     assert views.ml_features(spark, sf_dir).count() == size("embeddings")
+
+
+def test_saved_record_keeps_null_and_nan(spark, tmp_path):
+    one = spark.sql("select 1L as count_total, cast(null as double) as variance_x, double('NaN') as mean_x, cast(null as string) as s")
+    path = catalog.save_record(one, str(tmp_path), "one")
+    (line,) = [r["value"] for r in spark.read.text(path).collect()]
+    assert line == '{"count_total":1,"variance_x":null,"mean_x":"NaN","s":null}'
+    back = spark.read.schema(one.schema).json(path).first()
+    assert back["variance_x"] is None and back["mean_x"] != back["mean_x"]
