@@ -36,8 +36,8 @@ from pyspark.sql import functions as F
 
 from shelfwise.llm.components import components
 from shelfwise.llm.shipping import ship
-from shelfwise.llm.storage import written
 from shelfwise.llm.words import LOWER, WHITE, Words, mix, runs, words_of
+from shelfwise.sources.shared import written
 
 SHINGLE = 3
 PERCENT = 90
@@ -283,3 +283,30 @@ def jaccard_groups(
         "node",
         F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("smallest")).alias("component_id"),
     )
+
+
+def keep_one_of_each_group(
+    docs: DataFrame,
+    id: str = "doc_id",  # noqa: A002
+    text: str = "text",
+    size: int = SHINGLE,
+    percent: int = PERCENT,
+) -> DataFrame:
+    """The documents without shingles, and of each component of ``jaccard_groups`` the
+    one with the smallest id. Rows of one id and text, too, are one document; of two
+    texts with the smallest id, that with the smaller hash stays."""
+    groups = written(jaccard_groups(docs, id, text, size, percent), "groups")
+    linked = groups.where("node is not null")
+    kept = linked.groupBy("component_id").agg(F.min(F.struct(F.col(f"`{id}`"), F.col("text_key"))).alias("kept")).select("kept.*")
+    rows = linked.groupBy(F.col(f"`{id}`").alias("of_id"), F.col("text_key").alias("of_key")).count()
+    own_id, key = F.col(f"`{id}`"), F.when(F.col(f"`{text}`").isNotNull(), F.xxhash64(F.col(f"`{text}`")))
+    counted = written(
+        kept.join(rows, kept[id].eqNullSafe(F.col("of_id")) & (kept["text_key"] == F.col("of_key"))).select("of_id", "of_key", "count"), "kept"
+    )
+    bare = groups.where("node is null").select(F.col(f"`{id}`").alias("of_id"), F.col("text_key").alias("of_key"), F.lit(1).alias("count")).distinct()
+    chosen = counted.unionByName(bare)
+    found = docs.join(chosen, own_id.eqNullSafe(F.col("of_id")) & key.eqNullSafe(F.col("of_key"))).drop("of_id", "of_key")
+    if counted.where("count > 1").isEmpty():
+        return found.drop("count")
+    repeated = found.where(F.col("count") > 1).drop("count").dropDuplicates([id, text])
+    return found.where(F.col("count") == 1).drop("count").unionByName(repeated)

@@ -157,6 +157,7 @@ from documents left join t using (doc_id)
 """
 
 ORACLE: dict[str, str] = {
+    "op2_suffix_dedup": SUFFIX_DEDUP,
     "op4_quality_rules": QUALITY_RULES,
     "op5_line_dedup": LINE_DEDUP,
     "op6_secret_scan": SECRET_SCAN,

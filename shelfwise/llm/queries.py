@@ -14,6 +14,7 @@ from shelfwise.llm.quality_rules import quality_rules
 from shelfwise.llm.rule_classifier import fit_rules, score_documents
 from shelfwise.llm.secret_scan import BASE_RULES, as_text, secret_scan
 from shelfwise.llm.sentence_pieces import encode_pieces
+from shelfwise.llm.suffix_dedup import suffix_dedup
 from shelfwise.llm.url_filter import url_filter
 
 #: Rules of op8: host, path, verdict.
@@ -38,6 +39,18 @@ def op1_rule_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = F.col("repeats")
+    return suffix_dedup(docs, drop=("text",)).select(
+        "doc_id",
+        found["n_bytes"].alias("n_bytes"),
+        found["n_removed"].alias("n_removed"),
+        (F.size(found["spans"]) / 2).cast("long").alias("n_spans"),
+        F.sha2(found["kept"], 256).alias("kept_sha256"),
+    )
+
+
 def op3_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     encoded = encode_pieces(docs, decoded="decoded")
@@ -108,6 +121,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_rule_classifier": op1_rule_classifier,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_sentence_pieces": op3_sentence_pieces,
     "op4_quality_rules": op4_quality_rules,
     "op5_line_dedup": op5_line_dedup,
