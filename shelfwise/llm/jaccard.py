@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 from shelfwise.llm.components import components
 from shelfwise.llm.shipping import ship
 from shelfwise.llm.words import LOWER, WHITE, Words, mix, runs, words_of
+from shelfwise.operators.attach import attach
 from shelfwise.sources.shared import written
 
 SHINGLE = 3
@@ -274,9 +275,9 @@ def jaccard_groups(
     second = linked(met.select(F.col("x_node").alias("a"), F.col("y_node").alias("b")).distinct())
     final = components(first.unionByName(second))
 
-    placed = sets.select("id", "key", "n", "node").join(final, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    smallest = placed.where("node is not null").groupBy(F.col("component").alias("of")).agg(F.min("id").alias("smallest"))
-    return placed.join(smallest, F.col("component") == F.col("of"), "left").select(
+    placed = attach(sets.select("id", "key", "n", "node"), final, "node").withColumn("component", F.coalesce("component", "node"))
+    smallest = placed.where("node is not null").groupBy("component").agg(F.min("id").alias("smallest"))
+    return attach(placed, smallest, "component").select(
         F.col("id").alias(id),
         F.col("key").alias("text_key"),
         F.col("n").alias("n_shingles"),

@@ -24,9 +24,9 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfwise.operators.attach import attach
 from shelfwise.sources.shared import written
 
-
 MIN_SITES = 5
 BAND = 0.1
 SKETCH_BITS = 12
@@ -49,8 +49,7 @@ def boilerplate(lines: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
     )
     near = estimated.where(F.col("sites") <= min_sites + band)
     exact = (
-        lines.join(near.select("line"), "line", "left_semi")
-        .select("line", "site")
+        attach(lines.select("line", "site"), near.select("line"), "line", "inner")
         .distinct()
         .groupBy("line")
         .agg(F.count("site").alias("exact"))
@@ -86,7 +85,7 @@ def line_dedup(
         .withColumn("line", F.xxhash64("words"))
     )
     common = written(boilerplate(lines.select("line", "site", "id"), min_sites), "boilerplate")
-    met = lines.select("id", "key", "place", "line").join(common, "line")
+    met = attach(lines.select("id", "key", "place", "line"), common, "line", "inner")
     at = F.struct("line", "place", F.col("id").eqNullSafe(F.col("first")).alias("home"))
     found = met.groupBy("id", "key").agg(F.array_sort(F.collect_set(at)).alias("found"))
 

@@ -4,8 +4,8 @@ From each regular expression follows a Boolean query of trigrams that any match
 must contain. The postings of the trigrams asked for (trigram, document) are
 intersected per document, and only candidates are searched with the expression. An
 expression without mandatory trigrams is searched in every document. Documents are
-keyed by a hash of the text, so copies share their postings; a collision could only
-add a candidate.
+keyed by a hash of the whole row, so that copies of a text do not meet in one task; a
+collision could only add a candidate.
 
 Defined results: a null text is empty; repeated rows are scanned each; an empty
 table gives an empty table. A column of the input that has the name of the result
@@ -118,7 +118,7 @@ def secret_scan(docs: DataFrame, text: str = "text", rules: Sequence[Rule] = RUL
     all matches, by start, then in the order of ``rules``; code points, end exclusive."""
     left = docs.drop(into)
     whole = F.coalesce(F.col(f"`{text}`"), F.lit(""))
-    key = F.xxhash64(whole)
+    key = F.xxhash64(*[f"`{f.name}`" for f in left.schema if "map<" not in f.dataType.simpleString()])
     indexed = [rule for rule in rules if trigram_query(rule.pattern).clauses]
     kinds, joined = f"{into}_kinds_", left
     if indexed:
