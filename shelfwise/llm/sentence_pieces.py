@@ -48,7 +48,9 @@ def encode_pieces(
     ship(spark)
     shared = spark.sparkContext.broadcast(PieceModel.load(model))
     left = [c for c in docs.columns if c not in (ids, decoded, *drop)]
-    added = [T.StructField(ids, T.ArrayType(T.IntegerType(), False))] + [T.StructField(decoded, T.StringType())] * (decoded is not None)
+    added = [T.StructField(ids, T.ArrayType(T.IntegerType(), False))]
+    if decoded is not None:
+        added.append(T.StructField(decoded, T.StringType()))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(shared.value)
@@ -64,10 +66,9 @@ def encode_pieces(
                     texts += [None if t is None else b for t, b in zip(run, back, strict=True)]
             kept = [batch.column(names.index(c)) for c in left]
             kind = pa.list_(pa.int32())
-            encoded = pa.chunked_array(lists, kind).combine_chunks() if lists else pa.array([], kind)
-            encoded = encoded.combine_chunks() if isinstance(encoded, pa.ChunkedArray) else encoded
-            extra = [pa.array(texts, pa.string())] * (decoded is not None)
-            yield pa.RecordBatch.from_arrays([*kept, encoded, *extra], names=[*left, ids] + [decoded] * (decoded is not None))
+            encoded = pa.concat_arrays(lists) if lists else pa.array([], kind)
+            columns = [*kept, encoded] if decoded is None else [*kept, encoded, pa.array(texts, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, names=[*left, *[f.name for f in added]])
 
     return docs.mapInArrow(encode, T.StructType([docs.schema[c] for c in left] + added))
 
