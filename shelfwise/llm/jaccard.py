@@ -227,9 +227,9 @@ def jaccard_groups(
     sets = written(source.mapInArrow(_describe(size), shape), "sets")
 
     members = source.select("text").mapInArrow(_emit(size, percent), "bucket long, node long")
-    dealt = members.repartition("bucket")
-    least = dealt.groupBy("bucket").agg(F.min("node").alias("least"), F.max("node").alias("most")).where("least < most")
-    shared = written(dealt.join(least.select("bucket", "least").hint("merge"), "bucket").distinct(), "buckets")
+    ends = members.groupBy("bucket").agg(F.min("node").alias("least"), F.max("node").alias("most"))  # combined before the shuffle
+    least = written(ends.where("least < most").select("bucket", "least"), "least")
+    shared = written(attach(members, least, "bucket", "inner").distinct(), "buckets")
 
     nodes = sets.where("node is not null").groupBy("node").agg(
         F.min(F.struct("id", "key")).alias("of"), *[F.first(c).alias(c) for c in ("n", *(f"s{k}" for k in range(SHORT)))]
