@@ -6,6 +6,7 @@ matching): ``tests/llm`` holds those against brute force.
 
 from __future__ import annotations
 
+from shelfwise.llm.quality_rules import SLACK, TWO_SIDED
 from shelfwise.llm.secret_scan import BASE_RULES, RULES, Rule
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -36,11 +37,10 @@ from d left join v using (doc_id)
 """
 
 _WORDS = f"regexp_extract_all(coalesce(text, ''), '{WHITE_WORDS}')"
-_FENCED = ("symbol_rate", "repeat_rate", "dup_line_rate", "word_length")
+_FENCED = tuple(SLACK)
 _LIMITS = ", ".join(
     f"quantile_disc({r}, 0.25) as {r}_low, quantile_disc({r}, 0.75) as {r}_high" for r in _FENCED
 )
-_SLACK = {"symbol_rate": 300, "repeat_rate": 500, "dup_line_rate": 2000, "word_length": 150}
 
 
 def _bound(rate: str, which: str) -> str:
@@ -48,8 +48,8 @@ def _bound(rate: str, which: str) -> str:
 
 
 _WITHIN = " and ".join(
-    [f"coalesce({r} <= {_bound(r, 'high')} + 3 * ({_bound(r, 'high')} - {_bound(r, 'low')}) + {_SLACK[r]}, true)" for r in _FENCED]
-    + [f"coalesce({r} >= {_bound(r, 'low')} - 3 * ({_bound(r, 'high')} - {_bound(r, 'low')}) - {_SLACK[r]}, true)" for r in ("word_length",)]
+    [f"coalesce({r} <= {_bound(r, 'high')} + 3 * ({_bound(r, 'high')} - {_bound(r, 'low')}) + {SLACK[r]}, true)" for r in _FENCED]
+    + [f"coalesce({r} >= {_bound(r, 'low')} - 3 * ({_bound(r, 'high')} - {_bound(r, 'low')}) - {SLACK[r]}, true)" for r in TWO_SIDED]
 )
 
 QUALITY_RULES = f"""

@@ -25,7 +25,7 @@ MAX_REPEAT_PERCENT = 20
 
 #: Rate -> slack that is added to its fences. Rates are whole numbers per 10,000,
 #: word_length is in hundredths of a code point.
-SLACK = {"symbol_rate": 300, "repeat_rate": 500, "dup_line_rate": 2000, "word_length": 150}
+SLACK = {"symbol_rate": 300, "repeat_rate": 1500, "dup_line_rate": 5000, "word_length": 150}
 TWO_SIDED = ("word_length",)
 SPREADS = 3
 MIN_GROUP = 100
