@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_PART, _PARTS, _HOT = "__part", "__parts", "__hot_key"
+_PART, _PARTS, _HOT, _CLASS = "__part", "__parts", "__hot_key", "__class"
 
 
 @dataclass(frozen=True)
@@ -22,9 +22,9 @@ class Skew:
 
     ``rows_per_task``: a key with more rows than this is spread over
     ``ceil(rows / rows_per_task)`` parts.
-    ``tracked``: keys that the sketch of frequent keys tracks. A key is found if
-    it holds more than 1 / ``tracked`` of the rows or so, and one that is not
-    takes the ordinary join, so the result does not depend on this number.
+    ``tracked``: hash classes that rows are first counted by. At most a quarter as
+    many keys, those with the most rows, count as hot; the others take the ordinary
+    join, so the result does not depend on this number.
     """
 
     rows_per_task: int = 1_000_000
@@ -37,15 +37,19 @@ DEFAULT_SKEW = Skew()
 def hot_keys(df: DataFrame, key: str, skew: Skew = DEFAULT_SKEW) -> DataFrame:
     """(__hot_key, __parts) of the keys with more than ``rows_per_task`` rows.
 
-    Lazy: a narrow pass over the key column with a sketch of bounded size per
-    task, merged into one row, so at most a quarter of ``tracked`` keys come out.
-    Nulls are not looked at.
+    Lazy, and evaluated more than once in a result of ``attach``, so it is made of
+    exact counts: every evaluation gives the same keys and parts, in whatever order
+    rows and blocks arrive. A narrow pass counts the rows of ``tracked`` hash
+    classes. Only keys of classes beyond ``rows_per_task``, where there are any, are
+    counted one by one. At most a quarter of ``tracked`` keys come out. Nulls are
+    not looked at.
     """
-    top = F.expr(f"approx_top_k(`{key}`, {max(1, skew.tracked // 4)}, {skew.tracked})")
-    found = df.where(F.col(f"`{key}`").isNotNull()).agg(top.alias("top")).select(F.explode("top").alias("top"))
-    return found.where(F.col("top.count") > skew.rows_per_task).select(
-        F.col("top.item").alias(_HOT), F.ceil(F.col("top.count") / skew.rows_per_task).cast("int").alias(_PARTS)
-    )
+    keys = df.where(F.col(f"`{key}`").isNotNull()).select(F.col(f"`{key}`").alias(_HOT))
+    keys = keys.withColumn(_CLASS, F.pmod(F.xxhash64(_HOT), F.lit(skew.tracked)))
+    full = keys.groupBy(_CLASS).count().where(F.col("count") > skew.rows_per_task).select(_CLASS)
+    counts = keys.join(F.broadcast(full), _CLASS, "left_semi").groupBy(_HOT).count().where(F.col("count") > skew.rows_per_task)
+    top = counts.orderBy(F.col("count").desc(), _HOT).limit(max(1, skew.tracked // 4))
+    return top.select(_HOT, F.ceil(F.col("count") / skew.rows_per_task).cast("int").alias(_PARTS))
 
 
 def attach(

@@ -34,6 +34,23 @@ def test_hot_keys_are_bounded(spark):
     assert hot_keys(many, "asin", Skew(rows_per_task=1, tracked=64)).count() <= 16
 
 
+def test_hot_keys_do_not_depend_on_the_order_of_rows(spark):
+    """More keys than are tracked, with the limit amid their counts: 10 to 109 rows a key."""
+    rows_of = {k: 10 + k % 100 for k in range(600)}
+    keys = spark.createDataFrame(list(rows_of.items()), "asin long, n int").select("asin", F.explode(F.sequence(F.lit(1), "n")).alias("i"))
+    skew = Skew(rows_per_task=60, tracked=1024)
+    wanted = sorted(((k, -(-n // 60)) for k, n in rows_of.items() if n > 60), key=lambda x: (-rows_of[x[0]], x[0]))
+    few = Skew(rows_per_task=60, tracked=64)
+    for parts in (1, 3, 8):
+        table = keys.repartition(parts, "i")
+        assert sorted(tuple(r) for r in hot_keys(table, "asin", skew).collect()) == sorted(wanted[:256])
+        assert sorted(tuple(r) for r in hot_keys(table, "asin", few).collect()) == sorted(wanted[:16])
+        lookup = keys.groupBy("asin").agg(F.count("*").alias("n"))
+        found = attach(table, lookup, "asin", skew=few)
+        assert found.groupBy("asin").agg(F.count("*").alias("rows"), F.min("n").alias("lo"), F.max("n").alias("hi")).where("rows <> lo or rows <> hi or lo is null").count() == 0
+        assert found.count() == sum(rows_of.values())
+
+
 @pytest.mark.parametrize("how", ["left", "inner"])
 @pytest.mark.parametrize("tracked", [64, 4096])
 def test_spread_join_changes_nothing(skewed, lookup, how, tracked):
