@@ -164,14 +164,16 @@ def decontaminate(
     spark = docs.sparkSession
     ship(spark)
     items = benchmark.select(F.col(f"`{item}`").cast("string").alias("id"), F.col(f"`{item_text}`").alias("text")).dropna(subset=["text"])
-    total = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    # repeated rows of an item have one hash, so they count and are collected once
+    sizes = items.groupBy(F.xxhash64("id", "text")).agg(F.max(F.octet_length("text")).alias("size"))
+    total = sizes.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
     blocks = max(1, -(-total // block_bytes))
     part = F.pmod(F.xxhash64("id", "text"), F.lit(blocks))
     keep = [c for c in docs.columns if c != into]
     result = T.StructField(into, T.StructType.fromDDL("n_words long, n_hit long, spans array<int>, items array<string>"))
     found = docs.select(*[F.col(f"`{c}`") for c in keep])
     for block in range(blocks):
-        chosen = [(row["id"], row["text"]) for row in items.where(part == block).collect()]
+        chosen = [(row["id"], row["text"]) for row in items.where(part == block).distinct().collect()]
         names = [name for name, _ in chosen]
         shared = spark.sparkContext.broadcast((compile_items(list(enumerate(t for _, t in chosen)), window), names))
         last = block + 1 == blocks

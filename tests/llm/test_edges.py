@@ -5,6 +5,7 @@ import hashlib
 import pytest
 from pyspark.sql import functions as F
 
+from shelfwise.llm import decontaminate as module
 from shelfwise.llm.decontaminate import decontaminate
 from shelfwise.llm.jaccard import jaccard_groups, keep_one_of_each_group
 from shelfwise.llm.license_scan import license_scan
@@ -133,6 +134,20 @@ def test_items_in_blocks(docs, spark):
     assert sorted(decontaminate(docs, items, drop=("text",), block_bytes=30).collect(), key=repr) == sorted(whole, key=repr)
 
 
+def test_repeated_items_are_collected_once(docs, spark, monkeypatch):
+    once = [(i, f"own line {i} of a document") for i in range(6)]
+    items = spark.createDataFrame(once + [once[0]] * 500 + [(None, "alone")] * 2, "item_id long, text string")
+    sizes, compiled = [], module.compile_items
+    monkeypatch.setattr(module, "compile_items", lambda some, window: sizes.append(len(some)) or compiled(some, window))
+    found = decontaminate(docs, items, drop=("text",)).collect()
+    assert sizes == [7]
+    whole = decontaminate(docs, spark.createDataFrame(once + [(None, "alone")], items.schema), drop=("text",)).collect()
+    assert sorted(found, key=repr) == sorted(whole, key=repr)
+    sizes.clear()
+    decontaminate(docs, items, drop=("text",), block_bytes=30).collect()
+    assert len(sizes) <= 6 and sum(sizes) == 7  # 7 texts of 5 or 24 bytes
+
+
 def test_urls(spark):
     pages = spark.createDataFrame(
         [(1, None), (2, ""), (3, "no scheme"), (4, "http://A.EXAMPLE.org/es/x?q"), (4, "http://A.EXAMPLE.org/es/x?q"), (5, "http://org"),
