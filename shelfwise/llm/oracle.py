@@ -1,7 +1,8 @@
 """DuckDB SQL for the registered queries that SQL can express.
 
-None for op1 and op3 (learned models, a tokenizer's merges) and op7 (bounded-error
-matching): ``tests/llm`` holds those against brute force.
+None for op1, op3 (learned models, a tokenizer's merges), op7 (bounded-error
+matching), op11 (eigenvectors) and op13 (a hash that DuckDB lacks): ``tests/llm`` holds
+those against brute force.
 """
 
 from __future__ import annotations
@@ -156,6 +157,30 @@ select doc_id, {", ".join(f"coalesce(n_{rule.kind}, 0) as n_{rule.kind}" for rul
 from documents left join t using (doc_id)
 """
 
+FILTER_AUDIT = f"""
+with t as (select doc_id, coalesce(lang, '') as part, coalesce(text, '') as text, {_WORDS} as w from documents),
+ f as (select doc_id, part, len(w) < 100 as a, 100 * len(list_distinct(w)) < 80 * len(w) as b,
+   100 * len(regexp_extract_all(text, '[A-Z]')) > 10 * length(text) as c, regexp_matches(text, '[#$%&*|]') as d,
+   coalesce(doc_id > min(doc_id) over (partition by text), false) as e from t),
+ l as (select doc_id, max(case when quality = 1 then 1 else 0 end) as good, max(case when toxic = 1 then 1 else 0 end) as toxic
+   from labels group by doc_id),
+ m as (select part, [a, b, c, d, e] as fails, count(*) as n, coalesce(sum(good), 0) as good, coalesce(sum(toxic), 0) as toxic
+   from f left join l using (doc_id) group by part, fails),
+ x as (select unnest(['A', 'B', 'C', 'D', 'E']) as x),
+ o as (select p.x || q.x || r.x || s.x || u.x as filter_order from x p, x q, x r, x s, x u
+   where p.x not in (q.x, r.x, s.x, u.x) and q.x not in (r.x, s.x, u.x) and r.x not in (s.x, u.x) and s.x <> u.x),
+ k as (select m.*, filter_order, list_min([case when fails[i] then strpos(filter_order, chr(64 + i)) else 6 end for i in [1, 2, 3, 4, 5]]) as gone
+   from m, o),
+ g as (select part, filter_order, cast(step as int) as step, ascii(filter_order[step]) - 64 as number,
+   sum(n) filter (gone > step) as kept, sum(n) filter (gone = step) as removed, sum(n) filter (gone < step and fails[number]) as redundant,
+   sum(n) filter (fails[number] and len(list_filter(fails, lambda y: y)) = 1) as unique_fails,
+   sum(good) filter (gone = step) as good_lost, sum(toxic) filter (gone = step) as toxic_lost
+   from k, (select unnest([1, 2, 3, 4, 5]) as step) group by part, filter_order, step)
+select part, filter_order, step, {", ".join(f"coalesce({c}, 0)::bigint as {c}" for c in "kept removed redundant unique_fails good_lost toxic_lost".split())},
+  coalesce(sum(removed) over (partition by part, number), 0)::bigint as shapley
+from g
+"""
+
 ORACLE: dict[str, str] = {
     "op2_suffix_dedup": SUFFIX_DEDUP,
     "op4_quality_rules": QUALITY_RULES,
@@ -164,4 +189,5 @@ ORACLE: dict[str, str] = {
     "op8_url_filter": URL_FILTER,
     "op9_jaccard_join": JACCARD_JOIN,
     "op10_decontaminate": DECONTAMINATE,
+    "op12_filter_audit": FILTER_AUDIT,
 }

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.llm.decontaminate import decontaminate
+from shelfwise.llm.filter_audit import filter_audit, text_failures, with_labels
 from shelfwise.llm.jaccard import jaccard_groups
 from shelfwise.llm.license_scan import license_scan
 from shelfwise.llm.line_dedup import line_dedup
@@ -14,8 +15,10 @@ from shelfwise.llm.quality_rules import quality_rules
 from shelfwise.llm.rule_classifier import fit_rules, score_documents
 from shelfwise.llm.secret_scan import BASE_RULES, as_text, secret_scan
 from shelfwise.llm.sentence_pieces import encode_pieces
+from shelfwise.llm.simhash import simhash_groups
 from shelfwise.llm.suffix_dedup import suffix_dedup
 from shelfwise.llm.url_filter import url_filter
+from shelfwise.llm.whitening import whiten
 
 #: Rules of op8: host, path, verdict.
 URL_RULES = [
@@ -119,6 +122,26 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    s = F.col("whitening")
+    columns = "component n whitened explained identity_error".split()
+    return found.select("vec_id", *[s[c].alias(c) for c in columns], s["deviation"].cast("long").alias("deviation"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    wanted = {"good": F.col("quality") == 1, "toxic": F.col("toxic") == 1}
+    failures = with_labels(text_failures(docs, keep={"part": "lang"}), table(spark, sf_dir, "labels"), "doc_id", wanted)
+    return filter_audit(failures, list("ABCDE"), "part", list(wanted)).drop("filter")
+
+
+def op13_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash_groups(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    digits = F.lower(F.lpad(F.hex("fingerprint"), 16, "0"))
+    return found.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
 QUERIES = {
     "op1_rule_classifier": op1_rule_classifier,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -130,4 +153,7 @@ QUERIES = {
     "op8_url_filter": op8_url_filter,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_decontaminate": op10_decontaminate,
+    "op11_embedding_whitening": op11_embedding_whitening,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_simhash_dedup": op13_simhash_dedup,
 }
