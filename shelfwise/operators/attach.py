@@ -1,9 +1,9 @@
 """Joining a table to a lookup that holds one row per key.
 
 Adaptive execution splits a skewed side only where its bytes stand out, and many
-narrow rows of one key are few bytes. ``attach`` therefore spreads hot keys itself,
-at every size of the table: the rows of a hot key are dealt out to several parts,
-and its single lookup row is copied to each.
+narrow rows of one key are few bytes. ``attach`` therefore spreads hot keys itself:
+the rows of a hot key are dealt out to several parts, and its single lookup row is
+copied to each.
 """
 
 from __future__ import annotations
@@ -13,7 +13,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_PART, _PARTS, _HOT, _CLASS = "__part", "__parts", "__hot_key", "__class"
+from shelfwise.functions.names import unused
+
+#: Tasks that merge the sketches of all tasks before the last one merges theirs.
+_MERGERS = 32
 
 
 @dataclass(frozen=True)
@@ -22,9 +25,9 @@ class Skew:
 
     ``rows_per_task``: a key with more rows than this is spread over
     ``ceil(rows / rows_per_task)`` parts.
-    ``tracked``: hash classes that rows are first counted by. At most a quarter as
-    many keys, those with the most rows, count as hot; the others take the ordinary
-    join, so the result does not depend on this number.
+    ``tracked``: size of the sketch of frequent keys. At most a quarter as many keys,
+    those with the most rows, count as hot. The others take the ordinary join, so the
+    result does not depend on this number.
     """
 
     rows_per_task: int = 1_000_000
@@ -34,22 +37,21 @@ class Skew:
 DEFAULT_SKEW = Skew()
 
 
-def hot_keys(df: DataFrame, key: str, skew: Skew = DEFAULT_SKEW) -> DataFrame:
-    """(__hot_key, __parts) of the keys with more than ``rows_per_task`` rows.
+def hot_keys(df: DataFrame, key: str, skew: Skew = DEFAULT_SKEW) -> list[tuple[int, int]]:
+    """(xxhash64 of the key, parts) of the keys with more than ``rows_per_task`` rows.
 
-    Lazy, and evaluated more than once in a result of ``attach``, so it is made of
-    exact counts: every evaluation gives the same keys and parts, in whatever order
-    rows and blocks arrive. A narrow pass counts the rows of ``tracked`` hash
-    classes. Only keys of classes beyond ``rows_per_task``, where there are any, are
-    counted one by one. At most a quarter of ``tracked`` keys come out. Nulls are
-    not looked at.
+    One job reads the key column once. Each task keeps a sketch of its frequent keys, the
+    sketches are merged in two steps, and at most a quarter of ``tracked`` rows come out, so
+    neither memory nor what is shuffled grows with the number of keys. Counts are exact
+    while there are no more keys than the sketch tracks. Beyond that they are a lower
+    bound, and a key with less than about ``3.5 / tracked`` of all rows (one in a
+    thousand) may be missed: its rows then stay in one task, as in any join. Null is a key.
     """
-    keys = df.where(F.col(f"`{key}`").isNotNull()).select(F.col(f"`{key}`").alias(_HOT))
-    keys = keys.withColumn(_CLASS, F.pmod(F.xxhash64(_HOT), F.lit(skew.tracked)))
-    full = keys.groupBy(_CLASS).count().where(F.col("count") > skew.rows_per_task).select(_CLASS)
-    counts = keys.join(F.broadcast(full), _CLASS, "left_semi").groupBy(_HOT).count().where(F.col("count") > skew.rows_per_task)
-    top = counts.orderBy(F.col("count").desc(), _HOT).limit(max(1, skew.tracked // 4))
-    return top.select(_HOT, F.ceil(F.col("count") / skew.rows_per_task).cast("int").alias(_PARTS))
+    taker, accumulate = F.pmod(F.spark_partition_id(), F.lit(_MERGERS)).alias("taker"), f"approx_top_k_accumulate(hash, {skew.tracked})"
+    hashes = df.select(F.xxhash64(F.col(f"`{key}`")).alias("hash"), taker)
+    merged = hashes.groupBy("taker").agg(F.expr(accumulate).alias("some")).groupBy(F.lit("all").alias("group")).agg(F.expr(f"approx_top_k_combine(some, {skew.tracked})").alias("sketch"))
+    found = merged.select(F.expr(f"approx_top_k_estimate(sketch, {max(1, skew.tracked // 4)})").alias("top")).collect()  # no row for an empty table
+    return [(row["item"], -(-row["count"] // skew.rows_per_task)) for r in found for row in r["top"] if row["count"] > skew.rows_per_task]
 
 
 def attach(
@@ -63,41 +65,53 @@ def attach(
 
     ``lookup`` must hold one row per key (an aggregate by ``key``), so the
     result never has more rows than ``table``. ``table`` may repeat keys
-    without limit. Nothing runs before the result does: the hot keys are part of
-    the plan, and where there are none adaptive execution drops their branch.
-    Rows without a key are not joined at all.
+    without limit, null included, which joins with nothing.
+
+    A job finds the hot keys when this is called. It reads the key column of ``table``,
+    so a table that is costly to make should be written first. Without hot keys
+    the result is the ordinary join of one scan of each side. With them it still is one
+    join of one scan each, on the key and a part number: rows of hot keys are dealt
+    out, all others are part 0. Keys of different types are not spread.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"how must be 'left' or 'inner', not {how!r}")
-    hot = F.broadcast(hot_keys(table, key, skew))  # at most a quarter of ``tracked`` rows
-    keyed = table.where(F.col(key).isNotNull())
-    cold = keyed.join(hot, keyed[key] == hot[_HOT], "left_anti").join(lookup, key, how)
-    spread = keyed.join(hot, keyed[key] == hot[_HOT]).drop(_HOT)
-    copies = lookup.join(hot, lookup[key] == hot[_HOT]).drop(_HOT)
-    copies = copies.withColumn(_PART, F.explode(F.sequence(F.lit(0), F.col(_PARTS) - 1))).drop(_PARTS)
-    dealt = dealt_out(spread, F.col(_PARTS), _PART).drop(_PARTS)
-    joined = cold.unionByName(dealt.join(copies, [key, _PART], how).drop(_PART))
-    if how == "inner":
-        return joined
-    missing = [F.lit(None).cast(f.dataType).alias(f.name) for f in lookup.schema if f.name != key]
-    return joined.unionByName(table.where(F.col(key).isNull()).select("*", *missing))
+    alike = table.schema[key].dataType == lookup.schema[key].dataType
+    hot = hot_keys(table, key, skew) if alike else []
+    if not hot:
+        return table.join(lookup, key, how)
+    hash_, parts, part = (unused(name, table, lookup) for name in ("hash", "parts", "part"))
+    rows = ", ".join(f"({h}L, {p})" if h != -(1 << 63) else f"(bigint('{h}'), {p})" for h, p in hot)
+    known = F.broadcast(table.sparkSession.sql(f"select * from values {rows} as hot(`{hash_}`, `{parts}`)"))  # at most a quarter of ``tracked`` rows
+
+    def marked(df: DataFrame) -> DataFrame:
+        return df.withColumn(hash_, F.xxhash64(F.col(f"`{key}`"))).join(known, hash_, "left").drop(hash_)
+
+    dealt = dealt_out(marked(table), F.col(parts), part).drop(parts)
+    last = F.coalesce(F.col(parts), F.lit(1)) - 1
+    copies = marked(lookup).withColumn(part, F.explode(F.sequence(F.lit(0), last))).drop(parts)
+    columns = [key, *[c for c in table.columns if c != key], *[c for c in lookup.columns if c != key]]
+    return dealt.join(copies, [key, part], how).drop(part).select(*[F.col(f"`{c}`") for c in columns])
 
 
 def dealt_out(df: DataFrame, parts: Column, name: str) -> DataFrame:
-    """Adds a part number that goes round within each input partition.
+    """Adds a part number that goes round within each input partition; 0 where ``parts``
+    is null.
 
-    The rows of a partition are put in order first, so equal rows are dealt out
+    The rows to deal out are put in order first, so equal rows are dealt out
     evenly too, and a recomputed task repeats its numbers whatever order its
-    rows come in: rows that tie are equal.
+    rows come in: rows that tie are equal. All other rows tie.
     """
     hashable = [
         field.name
         for field in df.schema.fields
         if not any(kind in field.dataType.simpleString() for kind in ("map<", "variant"))
     ]
+    orderable = [F.col(f"`{c}`") for c in hashable if _orderable(df, c)]
+    some = parts.isNotNull()
+    whole_row = F.xxhash64(*[F.col(f"`{c}`") for c in hashable])
     place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    ordered = df.sortWithinPartitions(F.xxhash64(*hashable), *[c for c in hashable if _orderable(df, c)])
-    return ordered.withColumn(name, F.pmod(place + F.spark_partition_id(), parts).cast("int"))
+    ordered = df.sortWithinPartitions(*[F.when(some, c) for c in (whole_row, *orderable)])
+    return ordered.withColumn(name, F.when(some, F.pmod(place + F.spark_partition_id(), parts)).otherwise(0).cast("int"))
 
 
 def _orderable(df: DataFrame, column: str) -> bool:

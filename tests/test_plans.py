@@ -4,6 +4,7 @@ import re
 
 import pytest
 from helpers import plan
+from pyspark.sql import functions as F
 
 from shelfwise.functions.text import space_tokens
 from shelfwise.operators.attach import Skew, attach
@@ -67,7 +68,8 @@ def exchanges(text):
 def final_plan(df):
     """The plan that ran, once adaptive execution knew the sizes."""
     df.collect()
-    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    whole = df._jdf.queryExecution().executedPlan().toString()
+    return whole.split("\n+- == Initial Plan ==")[0]  # subqueries have initial plans of their own, further in
 
 
 def shuffles(text):
@@ -118,13 +120,47 @@ def test_neighbour_profile_shuffles(spark, sf_dir, no_broadcast):
     assert len(shuffles(text)) == 4
 
 
-def test_nothing_runs_while_the_plan_is_built(spark, sf_dir):
-    items = views.categories(spark, sf_dir).select("asin")
-    lookup = items.groupBy("asin").count()
-    jobs = spark.sparkContext.statusTracker()
-    before = len(jobs.getJobIdsForGroup())
-    attach(items, lookup, "asin", skew=Skew(rows_per_task=1))
-    assert len(jobs.getJobIdsForGroup()) == before
+def initial_plan(df):
+    """The plan as it is made, before adaptive execution drops or merges anything."""
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def scans(text):
+    return re.findall(r"(?:FileScan|Range \(|Scan ExistingRDD)", text)
+
+
+def jobs_of(spark, group, work):
+    """How many jobs ``work`` runs, and what it returns."""
+    context = spark.sparkContext
+    context.setJobGroup(group, group)
+    try:
+        result = work()
+        return len(context.statusTracker().getJobIdsForGroup(group)), result
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+
+
+@pytest.mark.parametrize("skew", [Skew(), Skew(rows_per_task=1)])
+def test_attach_reads_each_side_once(spark, sf_dir, no_broadcast, skew):
+    """Hot keys or not, the join has one scan of the table and one exchange a side, besides that of
+    the lookup's own aggregate; before it, one narrow pass over the key looks for hot keys."""
+    items = views.table(spark, sf_dir, "lineitem").select("l_partkey", "l_quantity")
+    lookup = items.groupBy("l_partkey").agg(F.count("*").alias("n"))
+    jobs, joined = jobs_of(spark, f"attach-{skew.rows_per_task}", lambda: attach(items, lookup, "l_partkey", skew=skew))
+    text = initial_plan(joined)
+    assert len(scans(text)) == 2
+    # the ordinary join needs the lookup's aggregate in place; spread, both sides move once more
+    assert len(re.findall("Exchange hashpartitioning", text)) == (2 if skew == Skew() else 3)
+    assert "LocalTableScan" in text or skew == Skew()
+    assert 1 <= jobs <= 3  # one query; adaptive execution runs its stages as jobs
+
+
+@pytest.mark.parametrize("name, read, moved", [("rating_rollup", 3, 2), ("neighbour_price", 6, 4)])
+def test_scans_and_exchanges_of_the_initial_plan(spark, sf_dir, no_broadcast, name, read, moved):
+    """Scans include those of the subquery of the product view."""
+    text = initial_plan(QUERIES[name](spark, sf_dir))
+    assert len(scans(text)) <= read
+    assert len(re.findall("Exchange hashpartitioning", text)) == moved
 
 
 def test_preview_stops_early(spark):

@@ -25,32 +25,60 @@ def lookup(spark):
     return spark.range(0, 2000).select(F.col("id").alias("asin"), (F.col("id") * 10).alias("value"))
 
 
-def test_hot_keys_are_found(skewed):
-    assert [tuple(r) for r in hot_keys(skewed, "asin", ALWAYS).collect()] == [(7, 21)]
+def hashes(spark, keys):
+    """xxhash64 of each key, as longs."""
+    table = spark.createDataFrame([(k,) for k in keys], "asin long")
+    return {r["asin"]: r["hash"] for r in table.withColumn("hash", F.xxhash64("asin")).collect()}
+
+
+def test_hot_keys_are_found(spark, skewed):
+    """Null is a key like any other."""
+    found = hashes(spark, [7, None])
+    assert sorted(hot_keys(skewed, "asin", ALWAYS)) == sorted([(found[7], 21), (found[None], 20)])
 
 
 def test_hot_keys_are_bounded(spark):
     many = spark.range(0, 5000).select((F.col("id") % 500).alias("asin"))
-    assert hot_keys(many, "asin", Skew(rows_per_task=1, tracked=64)).count() <= 16
+    assert len(hot_keys(many, "asin", Skew(rows_per_task=1, tracked=64))) <= 16
+
+
+def test_hot_keys_of_an_empty_table(spark):
+    assert hot_keys(spark.range(0), "id") == []
+    assert attach(spark.range(0), spark.range(5).withColumn("x", F.lit(1)), "id").collect() == []
 
 
-def test_hot_keys_do_not_depend_on_the_order_of_rows(spark):
-    """More keys than are tracked, with the limit amid their counts: 10 to 109 rows a key."""
+def test_counts_are_exact_while_all_keys_are_tracked(spark):
+    """10 to 109 rows a key, with the limit amid their counts."""
     rows_of = {k: 10 + k % 100 for k in range(600)}
     keys = spark.createDataFrame(list(rows_of.items()), "asin long, n int").select("asin", F.explode(F.sequence(F.lit(1), "n")).alias("i"))
-    skew = Skew(rows_per_task=60, tracked=1024)
-    wanted = sorted(((k, -(-n // 60)) for k, n in rows_of.items() if n > 60), key=lambda x: (-rows_of[x[0]], x[0]))
-    few = Skew(rows_per_task=60, tracked=64)
+    found = hashes(spark, rows_of)
+    wanted = {(found[k], -(-n // 60)) for k, n in rows_of.items() if n > 60}
     for parts in (1, 3, 8):
-        table = keys.repartition(parts, "i")
-        assert sorted(tuple(r) for r in hot_keys(table, "asin", skew).collect()) == sorted(wanted[:256])
-        assert sorted(tuple(r) for r in hot_keys(table, "asin", few).collect()) == sorted(wanted[:16])
-        lookup = keys.groupBy("asin").agg(F.count("*").alias("n"))
-        found = attach(table, lookup, "asin", skew=few)
-        assert found.groupBy("asin").agg(F.count("*").alias("rows"), F.min("n").alias("lo"), F.max("n").alias("hi")).where("rows <> lo or rows <> hi or lo is null").count() == 0
+        assert set(hot_keys(keys.repartition(parts, "i"), "asin", Skew(rows_per_task=60, tracked=4096))) == wanted
+
+
+@pytest.mark.parametrize("tracked", [64, 128, 1024])
+def test_joins_do_not_depend_on_what_is_tracked(spark, tracked):
+    rows_of = {k: 10 + k % 100 for k in range(600)}
+    keys = spark.createDataFrame(list(rows_of.items()), "asin long, n int").select("asin", F.explode(F.sequence(F.lit(1), "n")).alias("i"))
+    lookup = keys.groupBy("asin").agg(F.count("*").alias("n"))
+    for parts in (1, 8):
+        found = attach(keys.repartition(parts, "i"), lookup, "asin", skew=Skew(rows_per_task=60, tracked=tracked))
+        per_key = found.groupBy("asin").agg(F.count("*").alias("rows"), F.min("n").alias("lo"), F.max("n").alias("hi"))
+        assert per_key.where("rows <> lo or rows <> hi or lo is null").count() == 0
         assert found.count() == sum(rows_of.values())
 
 
+def test_many_even_keys_are_an_ordinary_join(spark):
+    """Far more rows than a sketch could count key by key, and no hot key among them: however many
+    keys there are, nothing is counted or read beyond the one narrow pass."""
+    even = spark.range(0, 2_000_000, 1, 8).select((F.col("id") % 500_000).alias("asin"))
+    skew = Skew(rows_per_task=1000, tracked=256)
+    assert hot_keys(even, "asin", skew) == []
+    lookup = even.groupBy("asin").agg(F.count("*").alias("n"))
+    assert plan(attach(even, lookup, "asin", skew=skew)).count("Join") == plan(even.join(lookup, "asin", "left")).count("Join")
+
+
 @pytest.mark.parametrize("how", ["left", "inner"])
 @pytest.mark.parametrize("tracked", [64, 4096])
 def test_spread_join_changes_nothing(skewed, lookup, how, tracked):
@@ -90,8 +118,7 @@ def test_many_narrow_rows_of_one_key_with_default_settings(spark, tmp_path):
     """20 million rows of one key in a small file: no part beyond a tenth of its share."""
     spark.range(0, 20_000_000, 1, 4).select(F.lit(7).alias("asin")).write.parquet(f"{tmp_path}/hot")
     table = spark.read.parquet(f"{tmp_path}/hot")
-    parts = hot_keys(table, "asin").collect()
-    assert [tuple(r) for r in parts] == [(7, 20)]
+    assert [parts for _, parts in hot_keys(table, "asin")] == [20]
     dealt = dealt_out(table.withColumn("parts", F.lit(20)), F.col("parts"), "part")
     assert all(abs(r["count"] - 1_000_000) <= 100_000 for r in dealt.groupBy("part").count().collect())
     lookup = spark.createDataFrame([(7, 1.0)], "asin int, value double").groupBy("asin").agg(F.sum("value").alias("value"))
@@ -104,6 +131,19 @@ def test_equal_rows_of_one_partition_are_dealt_out(spark):
     assert len(found) == 10 and all(abs(r["count"] - 400_000) <= 40_000 for r in found)
 
 
+def test_helper_columns_clash_with_none(skewed, lookup):
+    """Columns of the user that bear the names of helpers are kept."""
+    table = skewed.withColumns({"hash": F.lit("a"), "PARTS": F.lit("b"), "part": F.lit("c")})
+    found = attach(table, lookup.withColumn("part_", F.lit("d")), "asin", "left", ALWAYS)
+    assert found.columns == ["asin", "payload", "hash", "PARTS", "part", "value", "part_"]
+    assert found.where("hash = 'a' and PARTS = 'b' and part = 'c'").count() == 3000
+
+
+def test_keys_of_two_types_are_joined_as_usual(skewed, lookup):
+    found = attach(skewed, lookup.withColumn("asin", F.col("asin").cast("int")), "asin", "left", ALWAYS)
+    assert rows(found) == rows(skewed.join(lookup, "asin", "left"))
+
+
 def test_map_columns_are_carried(spark, skewed, lookup):
     with_map = skewed.withColumn("m", F.create_map(F.lit("k"), "payload"))
     found = attach(with_map, lookup, "asin", "left", ALWAYS)
