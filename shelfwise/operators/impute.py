@@ -6,47 +6,50 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwise.functions.cleaning import fill_if_missing, text_or, to_float, valid_number
+from shelfwise.operators.order import before_ranges, in_order
 
-#: Bins of a factor of e; the values of a float that share a bin are few.
-_BINS = 64
+
+def value_counts(df: DataFrame, number: str) -> DataFrame:
+    """(value, n, range, place): how often each valid number occurs, in order.
+
+    Reads ``df`` once, when called. Rows are counted per distinct value, combined before the
+    shuffle; only the counts are put in order, by ranges, and written.
+    """
+    column = F.col(number)
+    counts = df.where(column.isNotNull() & ~F.isnan(column)).groupBy(column.alias("value")).agg(F.count("*").alias("n"))
+    return in_order(counts, "value")
 
 
 def median(df: DataFrame, number: str) -> DataFrame:
     """One row ``median``: the middle value of ``number`` (the lower of two).
 
-    Exact, and the same in every run. Rows are counted per distinct value, combined
-    before the shuffle; the counts are added up per bin of nearby values, and only
-    the values of the bin that holds the middle are put in order. Bins are
-    logarithmic, 12,000 at most for floats, so neither step meets many rows in one
-    task. Nulls and NaN are passed over; without a number the result is null.
+    Exact, and the same in every run. Nulls and NaN are passed over; without a number the
+    result is null.
     """
-    column, value = F.col(number), F.col("value").cast("double")
-    size = F.floor(F.log(F.least(F.greatest(F.abs(value), F.lit(1e-300)), F.lit(1e300))) * _BINS) + F.lit(1 << 20)
-    bin_ = F.when(value == 0, F.lit(0)).otherwise(F.signum(value) * size).cast("long")
-    counts = df.where(column.isNotNull() & ~F.isnan(column)).groupBy(column.alias("value")).count().withColumn("bin", bin_)
-    by_bin = counts.groupBy("bin").agg(F.sum("count").alias("rows"))
-    upwards = Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
-    whole = Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    reached = by_bin.select(
-        "bin", "rows", (F.sum("rows").over(upwards) - F.col("rows")).alias("before"), F.sum("rows").over(whole).alias("total")
-    )
-    middle = reached.where((2 * F.col("before") < F.col("total")) & (2 * (F.col("before") + F.col("rows")) >= F.col("total")))
-    inside = counts.join(F.broadcast(middle.select("bin", "before", "total")), "bin")  # one row
-    until = F.col("before") + F.sum("count").over(Window.partitionBy("bin").orderBy("value"))
-    return (
-        inside.select("value", "total", until.alias("until")).where(2 * F.col("until") >= F.col("total")).agg(F.min("value").alias("median"))
-    )
+    return _middle(value_counts(df, number))
+
+
+def _middle(counts: DataFrame) -> DataFrame:
+    """The counts of each range tell in which the middle lies; only the values of that one
+    are looked at further."""
+    ranges = before_ranges(counts, F.col("n"))
+    holds = (2 * F.col("weight_before") < F.col("weight_total")) & (2 * (F.col("weight_before") + F.col("weight_here")) >= F.col("weight_total"))
+    inside = counts.join(F.broadcast(ranges.where(holds)), "range")  # one row
+    until = F.col("weight_before") + F.sum("n").over(Window.partitionBy("range").orderBy("value"))
+    reached = inside.select("value", "weight_total", until.alias("until")).where(2 * F.col("until") >= F.col("weight_total"))
+    return reached.agg(F.min("value").alias("median"))
 
 
 def fill_values(df: DataFrame, number: str) -> DataFrame:
-    """One row ``fills`` = struct(mean, median) over the valid numbers.
+    """One row ``fills`` = struct(mean, median) over the valid numbers, from one written
+    table of counts.
 
     Without any valid number both are 0.0.
     """
-    valid = df.select(valid_number(to_float(number)).alias("valid"))
-    middle = median(valid, "valid").scalar()
-    return valid.agg(F.coalesce(F.avg("valid"), F.lit(0.0)).alias("mean")).select(
-        F.struct("mean", F.coalesce(middle.cast("double"), F.lit(0.0)).alias("median")).alias("fills")
+    counts = value_counts(df.select(valid_number(to_float(number)).alias("valid")), "valid")
+    total = F.sum(F.col("value").cast("double") * F.col("n"))
+    return counts.agg(F.coalesce(total / F.nullif(F.sum("n"), F.lit(0)), F.lit(0.0)).alias("mean")).select(
+        F.struct("mean", F.coalesce(_middle(counts).scalar().cast("double"), F.lit(0.0)).alias("median")).alias("fills")
     )
 
 
@@ -58,8 +61,8 @@ def impute_number(
 ) -> DataFrame:
     """``number`` as a float, plus copies filled with the mean and the median.
 
-    The fill values enter as a scalar subquery: no driver round trip and no
-    join, and the table is projected in place.
+    ``df`` is read twice in all: to count its values, when this is called, and to
+    fill the gaps. The fill values enter as a scalar subquery over the counts, without a join.
     """
     fills = fill_values(df, number).scalar()
     as_float = to_float(number)

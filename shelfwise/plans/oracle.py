@@ -163,8 +163,36 @@ ORACLE: dict[str, str] = {
         from priced, whole""",
     "record_saved": f"""with {RATED}
         select count(*) as count_total, {_statistics('meanRating')}, {_nulls('meanRating')},
-          {_statistics('countRating')}, {_nulls('countRating')}, 7 as n_keys
-        from rated where asin = {LOOKUP_ASIN}""",
+          {_statistics('countRating')}, {_nulls('countRating')},
+          cast(null as double) as "mean_never", cast(null as double) as "variance_never", count(*) as "numNulls_never", 10 as n_keys
+        from rated""",
+    "category_variances": f"""with recursive {CATEGORY},
+        same as (select n, count(*) as m, row_number() over (order by n desc) as i from frequency group by n),
+        whole as (select list({{'n': n, 'm': m}}) as counts, sum(n * m) as total from same),
+        search as (
+          select a.i, cast(b.n as double) as lo, cast(a.n as double) as hi, 0 as step from same a join same b on b.i = a.i + 1
+          union all
+          select i, case when below then lo else middle end, case when below then middle else hi end, step + 1
+          from (select *, (lo + hi) / 2 as middle,
+                  list_sum([x.m * x.n * x.n / (x.n - (lo + hi) / 2) for x in counts]) > total as below
+                from search, whole where step < 55)
+        ),
+        found as (
+          select i, 1 as kind, unnest(range(m - 1)) as copy, n / total as variance from same, whole
+          union all
+          select i, 2, 0, (lo + hi) / 2 / total from search, whole where step = 55
+          union all
+          select max(i), 2, 0, 0 from same
+        )
+        select cast(row_number() over (order by i, kind, copy) as int) as component, round(variance, 9) as variance from found""",
+    "planted_neighbours": """
+        with orders_of as (select o_orderkey, o_custkey, lower(substr(o_orderpriority, 1, 1)) as topic from orders),
+        word as (
+          select distinct topic, topic || '_' || ((o_orderkey * (i + 1) + o_custkey + i) % 6) as word
+          from orders_of, (select unnest(range(0, 10)) as i)
+        )
+        select a.word as query, string_agg(b.word, ',' order by b.word) as neighbours
+        from word a join word b on a.topic = b.topic and a.word <> b.word group by a.word""",
     "preview_whole": "select 5::bigint as n_rows, 6 as n_columns, 5::bigint as n_known",
     "title_embedding_counts": f"""with {VOCABULARY}
         select (select count(*) from documents) as count_total, (select count(*) from vocabulary) as size_vocabulary,

@@ -21,14 +21,15 @@ from shelfwise.operators.encode import (
     count_levels,
     fit_index,
     fit_onehot,
-    fit_onehot_pca,
     fit_pca,
+    onehot_components,
     vector_mean,
     vector_rows,
 )
 from shelfwise.operators.flatten import flatten_category_and_rank
 from shelfwise.operators.impute import impute_number, impute_text
 from shelfwise.operators.neighbours import attach_neighbour_price
+from shelfwise.operators.profile import profile
 from shelfwise.operators.rollup import attach_rating, mean_and_count
 from shelfwise.operators.split import assign_split, hash_split
 from shelfwise.operators.trees import rmse, tree_rmse
@@ -44,6 +45,8 @@ VALID_SPLIT = [0.75, 0.25]
 LOOKUP_ASIN = 100
 QUERY_WORDS = ["and", "der", "de"]
 QUERY_VECTORS = [3, 141, 414]
+#: First characters of the order priorities.
+PLANTED_TOPICS = "12345"
 
 
 def rounded(df: DataFrame, *columns: str) -> DataFrame:
@@ -127,14 +130,17 @@ def neighbour_profile_nan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def record_saved(spark: SparkSession, sf_dir: str, root: str | None = None) -> DataFrame:
-    """The rating record of one product, whose variances are null, saved and read back."""
-    one = views.product(spark, sf_dir).where(F.col("asin") == LOOKUP_ASIN)
-    record = records.rating_profile(views.review(spark, sf_dir), one)
+    """The rating record of all products, with the statistics of a column that is always
+    null, saved and read back."""
+    rated = attach_rating(views.product(spark, sf_dir).select("asin"), views.review(spark, sf_dir))
+    columns = ["meanRating", "countRating", "never"]
+    record = profile(rated.withColumn("never", F.lit(None).cast("double")), means=columns, variances=columns, nulls=columns)
     path = save_record(record, root or shared_dir(spark), f"rating_record-{uuid.uuid4().hex}")
     kept = spark.read.text(path)
     read = spark.read.schema(record.schema).json(path)
     keys = kept.select(F.size(F.json_object_keys("value")).alias("n_keys")).scalar()
-    return rounded(read.withColumn("n_keys", keys), "mean_meanRating", "mean_countRating")
+    statistics = [f"{kind}_{c}" for c in columns for kind in ("mean", "variance")]
+    return rounded(read.withColumn("n_keys", keys), *statistics)
 
 
 def preview_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -162,14 +168,35 @@ def category_encoding_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(rows, "squared_mean", "share")
 
 
-def category_pca(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every row encoded at full width, where its squared length must be 1."""
+def _encoded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row encoded at full width."""
     items = views.categories(spark, sf_dir)
     levels = count_levels(items, "category")
-    model = fit_onehot_pca(levels, "categoryOneHot", "categoryPCA", levels.count())
-    encoded = model.transform(_onehot(items)).select("asin", vector_to_array("categoryPCA").alias("v"))
+    encoded = onehot_components(levels, levels.count()).of(levels, "v")
+    return attach(items, encoded.select(F.col("label").alias("category"), "v"), "category", "inner")
+
+
+def category_pca(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row encoded at full width, where its squared length must be 1."""
     squares = F.aggregate(F.transform("v", lambda x: x * x), F.lit(0.0), lambda a, b: a + b)
-    return rounded(encoded.select("asin", F.size("v").alias("width"), squares.alias("squared_length")), "squared_length")
+    return rounded(_encoded(spark, sf_dir).select("asin", F.size("v").alias("width"), squares.alias("squared_length")), "squared_length")
+
+
+def category_variances(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The variance of every component over all encoded rows: falling, and the roots of the
+    secular equation, as no other axes have it."""
+    each = _encoded(spark, sf_dir).select(F.posexplode("v").alias("at", "value"))
+    found = each.groupBy((F.col("at") + 1).alias("component")).agg(F.var_pop("value").alias("variance"))
+    return found.select("component", F.round(F.abs("variance"), 9).alias("variance"))
+
+
+def planted_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest words of each of the planted words, by a repeatable fit."""
+    planted = views.planted_words(spark, sf_dir)
+    model = fit_embedding(planted, "words", "vector", SEED, num_partitions=1, max_iter=8, step_size=0.1)
+    names = [f"{topic}_{i}" for topic in PLANTED_TOPICS for i in range(6)]
+    near = nearest(model.getVectors(), names, 5)
+    return near.groupBy("query").agg(F.array_join(F.sort_array(F.collect_list("word")), ",").alias("neighbours"))
 
 
 def tree_baseline_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -324,6 +351,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "title_embedding_counts": title_embedding_counts,
     "category_encoding_full": category_encoding_full,
     "category_pca": category_pca,
+    "category_variances": category_variances,
+    "planted_neighbours": planted_neighbours,
     "tree_baseline_by_type": tree_baseline_by_type,
     "rating_rollup": rating_rollup,
     "rating_profile": rating_profile,

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,14 +16,13 @@ from shelfwise.functions.cleaning import valid_number
 from shelfwise.functions.text import space_tokens
 from shelfwise.operators.attach import DEFAULT_SKEW, Skew
 from shelfwise.operators.embedding import fit_embedding, nearest
-from shelfwise.operators.encode import count_levels, fit_onehot_pca, shares_of
+from shelfwise.operators.encode import count_levels, onehot_components, shares_of
 from shelfwise.operators.flatten import flatten_category_and_rank
 from shelfwise.operators.impute import impute_number, impute_text
 from shelfwise.operators.neighbours import attach_neighbour_price
 from shelfwise.operators.profile import profile
 from shelfwise.operators.rollup import attach_rating
 from shelfwise.operators.trees import choose_depth, rmse, tree_rmse
-from shelfwise.sources.shared import written
 
 
 def warmup_profile(product: DataFrame, skip_nan: bool = False) -> DataFrame:
@@ -106,23 +105,27 @@ def category_means(processed: DataFrame) -> DataFrame:
     return _means(processed, count_levels(processed, "category"))
 
 
-def category_encoding(processed: DataFrame, k: int = 15) -> DataFrame:
+def category_encoding(processed: DataFrame, k: int = 15, partial: bool = False) -> DataFrame:
     """count_total and the mean indicator and mean component vectors.
 
     One pass over the category column counts the categories; the counts are kept in
     the shared folder. The shares are the mean indicator vector, and fix the
-    components too. The projection is linear and not centred, so the mean of the
-    projected rows is the projected mean row. Raises where the components cannot be
-    computed; ``category_means`` has the rest of the record.
+    components too, for any number of categories. The projection is linear and not centred, so
+    the mean of the projected rows is the sum of the encoded categories, each times its share.
+    Fewer categories than ``k`` raise ``ValueError``; with ``partial`` the component vector
+    is null instead and the rest of the record is there.
     """
-    levels = written(count_levels(processed, "category"), "levels")
-    components = fit_onehot_pca(levels, "categoryOneHot", "categoryPCA", k)
-    mean = _means(processed, levels).select("count_total", array_to_vector("meanVector_categoryOneHot").alias("categoryOneHot"))
-    return components.transform(mean).select(
-        "count_total",
-        vector_to_array("categoryOneHot").alias("meanVector_categoryOneHot"),
-        vector_to_array("categoryPCA").alias("meanVector_categoryPCA"),
-    )
+    levels = count_levels(processed, "category")
+    record = _means(processed, levels)
+    try:
+        components = onehot_components(levels, k)
+    except ValueError:
+        if not partial:
+            raise
+        return record.withColumn("meanVector_categoryPCA", F.lit(None).cast("array<double>"))
+    encoded = components.of(levels)
+    sums = [F.sum(F.col("share") * F.col("components")[i]) for i in range(k)]
+    return record.withColumn("meanVector_categoryPCA", encoded.agg(F.array(*sums).alias("mean")).scalar())
 
 
 def _means(processed: DataFrame, levels: DataFrame) -> DataFrame:

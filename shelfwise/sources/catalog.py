@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from shelfwise.sources.shared import move_folder, remove_folder
+
 REVIEW = T.StructType().add("asin", T.StringType()).add("overall", T.DoubleType())
 
 PRODUCT = (
@@ -70,9 +73,17 @@ def preview(df: DataFrame, n: int = 5, *columns: str) -> DataFrame:
 def save_record(record: DataFrame, root: str, name: str, fmt: str = "json") -> str:
     """Writes a one-row result under its name, replacing an earlier one.
 
-    Every key is kept: a null statistic is written as null, NaN as NaN.
+    Every key is kept: a null statistic is written as null, NaN as NaN. The record is
+    written under another name and then renamed, so a job that fails leaves what was there
+    before, never half a record.
     """
-    path = f"{root.rstrip('/')}/{name}"
-    writer = record.write.mode("overwrite").format(fmt)
-    (writer.option("ignoreNullFields", "false") if fmt == "json" else writer).save(path)
+    root = root.rstrip("/")
+    path, fresh = f"{root}/{name}", f"{root}/.{name}-{uuid.uuid4().hex}"
+    writer = record.write.format(fmt)
+    spark = record.sparkSession
+    try:
+        (writer.option("ignoreNullFields", "false") if fmt == "json" else writer).save(fresh)
+        move_folder(spark, fresh, path)
+    finally:
+        remove_folder(spark, fresh)
     return path

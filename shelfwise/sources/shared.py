@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 SHARED_DIR = "spark.checkpoint.dir"
+_fallback: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -22,9 +23,10 @@ def shared_dir(spark: SparkSession) -> str:
     master = spark.conf.get("spark.master", "")
     if not master.startswith("local") or master.startswith("local-cluster"):
         raise ValueError(f"set {SHARED_DIR} to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="shelfwise-")
-    spark.conf.set(SHARED_DIR, folder)
-    return folder
+    application = spark.sparkContext.applicationId
+    if application not in _fallback:
+        _fallback[application] = tempfile.mkdtemp(prefix="shelfwise-")
+    return _fallback[application]
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -32,8 +34,49 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
     This cuts lineage: what reads the result survives lost executors without
     recomputing ``df``, and Spark knows the size of the table when it plans joins.
+    The tables of an application share a folder, which ``remove_written`` deletes.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{_own_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def _own_dir(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/shelfwise-{spark.sparkContext.applicationId}"
+
+
+def remove_written(spark: SparkSession) -> None:
+    """Deletes all that ``written`` has written for this application.
+
+    Call it once the results are saved: results that are not, read those tables.
+    """
+    remove_folder(spark, _own_dir(spark))
+
+
+def _path(spark: SparkSession, folder: str):
+    """A Hadoop path and its file system."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Deletes a folder of any file system that Spark reads; one that is not there is fine."""
+    path, system = _path(spark, folder)
+    system.delete(path, True)
+
+
+def move_folder(spark: SparkSession, source: str, target: str) -> None:
+    """Renames a folder. One that bears the new name gives way, and comes back if the renaming
+    fails."""
+    (old, system), (new, _) = _path(spark, source), _path(spark, target)
+    aside, _ = _path(spark, f"{source}-before")
+    replaces = system.exists(new)
+    if replaces and not system.rename(new, aside):
+        raise OSError(f"cannot move {target}")
+    if not system.rename(old, new):
+        if replaces:
+            system.rename(aside, new)
+        raise OSError(f"cannot rename {source} to {target}")
+    if replaces:
+        system.delete(aside, True)

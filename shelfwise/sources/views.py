@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 COLUMNS = {
     "lineitem": "l_partkey bigint, l_linenumber int, l_quantity double",
     "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderpriority string",
     "documents": "doc_id bigint, text string",
     "embeddings": "vec_id bigint, embedding array<float>, label int",
 }
@@ -83,3 +84,13 @@ def ml_features(spark: SparkSession, sf_dir: str) -> DataFrame:
         array_to_vector(F.col("embedding").cast("array<double>")).alias("features"),
         F.col("label").cast("double").alias("overall"),
     )
+
+
+def planted_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(o_orderkey, words): ten words of every order, all of the six words of its priority.
+
+    Words of one priority stand among each other only, so an embedding must find them
+    to be each other's neighbours.
+    """
+    word = "concat(lower(substr(o_orderpriority, 1, 1)), '_', cast((o_orderkey * (i + 1) + o_custkey + i) % 6 as string))"
+    return table(spark, sf_dir, "orders").select("o_orderkey", F.expr(f"transform(sequence(0, 9), i -> {word})").alias("words"))

@@ -12,18 +12,18 @@ from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import functions as F
 
 from shelfwise.functions.text import space_tokens
-from shelfwise.operators import encode
 from shelfwise.operators.embedding import fit_embedding, nearest, vocabulary
 from shelfwise.operators.encode import (
     count_levels,
     fit_index,
     fit_onehot,
-    fit_onehot_pca,
     fit_pca,
+    onehot_components,
     vector_mean,
     vector_rows,
 )
 from shelfwise.operators.keep import kept
+from shelfwise.operators.order import in_order
 from shelfwise.operators.split import assign_split, hash_split, number
 from shelfwise.operators.trees import choose_depth, rmse, tree_rmse
 from shelfwise.plans import records
@@ -54,6 +54,11 @@ def test_one_partition_fits_the_same_again(tokens, embedding):
     assert rows(again.getVectors()) == rows(embedding.getVectors())
 
 
+def test_one_part_does_not_depend_on_the_layout(tokens, embedding):
+    again = fit_embedding(tokens.repartition(5), "words", "vector", seed=1, num_partitions=1)
+    assert rows(again.getVectors()) == rows(embedding.getVectors())
+
+
 def test_vector_size(embedding):
     assert len(embedding.getVectors().first()["vector"]) == 16
 
@@ -161,11 +166,8 @@ def test_any_number_of_categories(spark, width):
     assert found["count_total"] == width + 1
     shares = found["meanVector_categoryOneHot"]
     assert len(shares) == width and close(shares[0], 2 / (width + 1)) and close(sum(shares), 1.0)
-    if width > encode.MAX_PCA_WIDTH:
-        with pytest.raises(ValueError, match="too many"):
-            records.category_encoding(items)
-    else:
-        assert len(record(records.category_encoding(items, k=3))["meanVector_categoryPCA"]) == 3
+    whole = record(records.category_encoding(items, k=3))
+    assert whole["meanVector_categoryOneHot"] == shares and len(whole["meanVector_categoryPCA"]) == 3
 
 
 def test_index_of_null_and_unseen(spark):
@@ -209,19 +211,71 @@ def test_mean_of_projection_is_projection_of_mean(spark, sf_dir, encoded):
     assert np.allclose(np.abs(found["meanVector_categoryPCA"]), np.abs(expected), atol=1e-9)
 
 
+def axes_of(levels, components):
+    return np.array([r["components"] for r in components.of(levels).orderBy("position").collect()])
+
+
 def test_components_from_counts(spark, sf_dir, encoded):
     """Axes agree up to sign; where shares tie, the planes they span do."""
     from_rows = fit_pca(encoded, "hot", "pca", 15)
-    from_counts = fit_onehot_pca(count_levels(encoded, "category"), "hot", "pca", 15)
+    levels = count_levels(encoded, "category")
+    from_counts = onehot_components(levels, 15)
     variance = from_rows.explainedVariance.toArray()
-    assert np.allclose(from_counts.explainedVariance.toArray(), variance, atol=1e-9)
-    a, b = from_rows.pc.toArray(), from_counts.pc.toArray()
+    assert np.allclose(from_counts.explained, variance, atol=1e-9)
+    a, b = from_rows.pc.toArray(), axes_of(levels, from_counts)
     gaps = np.abs(np.subtract.outer(variance, variance)) + np.eye(15)
     alone = [i for i in range(14) if gaps[i].min() > 1e-6]
     assert len(alone) >= 3
     assert np.allclose(np.abs(np.sum(a * b, axis=0))[alone], 1.0, atol=1e-6)
 
 
+@pytest.mark.parametrize(
+    "counts", [[5, 3, 2], [4, 4, 4], [7], [1, 1], [9, 9, 5, 5, 5, 2, 1, 1, 1], [1_000_000, 999_999, 1], [10**9 + 1, 10**9, 10**9 - 1, 3, 3]]
+)
+def test_components_of_given_counts(spark, counts):
+    """Against the eigenvectors of the dense covariance; ties, near ties and very uneven counts."""
+    levels = spark.createDataFrame(
+        [(f"c{i:03}", n, i, n / sum(counts)) for i, n in enumerate(counts)], "label string, n long, position long, share double"
+    )
+    found, width, p = onehot_components(levels, len(counts)), len(counts), np.array(counts) / sum(counts)
+    covariance = np.diag(p) - np.outer(p, p)
+    axes = axes_of(levels, found)
+    assert np.allclose(axes.T @ axes, np.eye(width), atol=1e-9)
+    assert np.allclose(found.variances, np.linalg.eigvalsh(covariance)[::-1], atol=1e-15 + 1e-13 * p[0])
+    assert np.allclose(covariance @ axes, axes * found.variances, atol=1e-14)
+    first = onehot_components(levels, 1)
+    assert first.axes == found.axes[:1]
+    with pytest.raises(ValueError):
+        onehot_components(levels, width + 1)
+
+
+def test_no_task_orders_all_labels(spark):
+    """Five million labels, of which most tie: positions are those of a full sort."""
+    items = spark.range(0, 5_000_000, 1, 8).select(F.concat(F.lit("c"), F.col("id") % 4_999_000).alias("category"))
+    levels = count_levels(items, "category")
+    assert levels.agg(F.count_distinct("position"), F.min("position"), F.max("position")).first() == (4_999_000, 0, 4_998_999)
+    assert levels.where("position < 1000").agg(F.min("n"), F.max("n")).first() == (2, 2)
+    assert levels.where("position in (0, 1, 1000, 4998999)").orderBy("position").select("label").collect() == [("c0",), ("c1",), ("c1000",), ("c999999",)]
+    ordered = [r["label"] for r in levels.where("position between 1000 and 3000").orderBy("position").collect()]
+    assert ordered == sorted(ordered)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        ordered = in_order(spark.range(0, 100_000, 1, 4).selectExpr("id * 7919 % 100003 as x"), "x")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    ranges = ordered.groupBy("range").agg(F.min("x"), F.max("x"), F.count("*"), F.max("place")).orderBy("range").collect()
+    assert len(ranges) > 1 and all(a[2] < b[1] for a, b in zip(ranges, ranges[1:], strict=False))
+    assert all(r[4] == r[3] - 1 and r[3] < 80_000 for r in ranges)
+
+
+def test_partial_record(spark):
+    """What can be told is told where there are fewer categories than components."""
+    items = spark.createDataFrame([("a",), ("b",), ("a",)], "category string")
+    found = record(records.category_encoding(items, k=15, partial=True))
+    assert found["count_total"] == 3 and found["meanVector_categoryPCA"] is None
+    assert np.allclose(found["meanVector_categoryOneHot"], [2 / 3, 1 / 3])
+
+
 def test_encoding_of_null_category_fails(spark):
     items = spark.createDataFrame([("a",), ("b",), (None,)], "category string")
     with pytest.raises(Exception, match="1 rows"):

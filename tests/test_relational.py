@@ -3,7 +3,8 @@
 import math
 
 import pytest
-from helpers import close, record, rows
+from helpers import close, plan, record, rows
+from pyspark.sql import functions as F
 
 from shelfwise.operators.impute import fill_values, impute_number, impute_text, median
 from shelfwise.operators.neighbours import attach_neighbour_price
@@ -162,6 +163,42 @@ def test_no_task_orders_many_values(spark):
     assert median(prices, "price").first()["median"] == prices.selectExpr("percentile_disc(0.5) within group (order by price)").first()[0]
 
 
+def reads(spark, work):
+    """How many rows of a table of 2,000 ``work`` reads, by a count within the tasks."""
+    read = spark.sparkContext.accumulator(0)
+
+    def counting(batches):
+        for batch in batches:
+            read.add(len(batch))
+            yield batch
+
+    table = spark.range(0, 2000, 1, 4).selectExpr("cast(id % 97 as double) as price")
+    work(table.mapInPandas(counting, table.schema))
+    return read.value
+
+
+def test_imputing_reads_a_table_twice(spark):
+    def filled(table):
+        assert impute_number(table).agg(F.sum("meanImputedPrice"), F.sum("medianImputedPrice")).first() is not None
+
+    assert reads(spark, filled) == 4000
+    assert reads(spark, lambda table: median(table, "price").first()) == 2000
+
+
+def test_median_of_doubles_in_a_narrow_range(spark):
+    prices = spark.range(0, 300_001, 1, 6).selectExpr("1 + (id * 7919 % 300001) * 1e-12 as price")
+    assert median(prices, "price").first()["median"] == 1 + 150_000 * 1e-12
+
+
+def test_several_distinct_counts_copy_no_rows(spark):
+    items = spark.createDataFrame([("a", 1, 1.0), ("a", None, 2.0), (None, 2, None), ("b", 2, 3.0)], "x string, y int, z double")
+    found = profile(items, means=["z"], nulls=["x", "y"], distincts=["x", "y"], matches={"n": ("x", "a")})
+    assert "Expand" not in plan(found)
+    assert record(found) == {
+        "count_total": 4, "mean_z": 2.0, "numNulls_x": 1, "numNulls_y": 1, "countDistinct_x": 2, "countDistinct_y": 2, "n": 2,
+    }
+
+
 def test_impute_profile(spark):
     items = spark.createDataFrame(
         [(2.0, "unknown"), (4.0, ""), (None, None), (float("nan"), " ")], "price float, title string"

@@ -5,7 +5,7 @@ from helpers import record, rows
 from pyspark.ml.linalg import Vectors
 
 from shelfwise.plans import records
-from shelfwise.sources import catalog, views
+from shelfwise.sources import catalog, shared, views
 
 
 def test_catalogue_round_trip(spark, tmp_path):
@@ -77,3 +77,24 @@ def test_saved_record_keeps_null_and_nan(spark, tmp_path):
     assert line == '{"count_total":1,"variance_x":null,"mean_x":"NaN","s":null}'
     back = spark.read.schema(one.schema).json(path).first()
     assert back["variance_x"] is None and back["mean_x"] != back["mean_x"]
+
+
+def test_failed_save_leaves_the_record_that_was_there(spark, tmp_path):
+    catalog.save_record(spark.sql("select 1 as count_total"), str(tmp_path), "one")
+    bad = spark.range(0, 4, 1, 4).selectExpr("if(id < 3, id, cast(raise_error('no') as bigint)) as count_total")
+    with pytest.raises(Exception, match="no"):
+        catalog.save_record(bad, str(tmp_path), "one")
+    assert rows(spark.read.json(f"{tmp_path}/one")) == [(1,)]
+    with pytest.raises(Exception, match="no"):
+        catalog.save_record(bad, str(tmp_path), "two")
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["one"]
+
+
+def test_written_tables_are_removed(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(shared, "shared_dir", lambda session: str(tmp_path))
+    shared.written(spark.range(5), "numbers")
+    (own,) = tmp_path.iterdir()
+    assert len(list(own.iterdir())) == 1
+    shared.remove_written(spark)
+    shared.remove_written(spark)
+    assert not list(tmp_path.iterdir())
