@@ -11,7 +11,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.operators.order import before_ranges, in_order
+from shelfwise.operators.order import in_order, ranges_of
 
 
 def count_levels(df: DataFrame, category: str) -> DataFrame:
@@ -26,11 +26,9 @@ def count_levels(df: DataFrame, category: str) -> DataFrame:
     """
     counts = df.where(F.col(category).isNotNull()).groupBy(F.col(category).alias("label")).agg(F.count("*").alias("n"))
     ordered = in_order(counts, F.desc("n"), F.asc("label"))
-    ranges = F.broadcast(before_ranges(ordered).select("range", "weight_before"))  # one row a range
+    places = ranges_of(ordered)
     total = ordered.agg(F.sum("n").alias("rows")).scalar()
-    return ordered.join(ranges, "range").select(
-        "label", "n", (F.col("weight_before") + F.col("place")).cast("long").alias("position"), (F.col("n") / total).alias("share")
-    )
+    return ordered.select("label", "n", (places.offset() + F.col("place")).alias("position"), (F.col("n") / total).alias("share"))
 
 
 def fit_index(df: DataFrame, category: str, output: str, handle_invalid: str = "error") -> StringIndexerModel:

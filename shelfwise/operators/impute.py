@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwise.functions.cleaning import fill_if_missing, text_or, to_float, valid_number
-from shelfwise.operators.order import before_ranges, in_order
+from shelfwise.operators.order import in_order, ranges_of
 
 
 def value_counts(df: DataFrame, number: str) -> DataFrame:
@@ -32,11 +32,11 @@ def median(df: DataFrame, number: str) -> DataFrame:
 def _middle(counts: DataFrame) -> DataFrame:
     """The counts of each range tell in which the middle lies; only the values of that one
     are looked at further."""
-    ranges = before_ranges(counts, F.col("n"))
-    holds = (2 * F.col("weight_before") < F.col("weight_total")) & (2 * (F.col("weight_before") + F.col("weight_here")) >= F.col("weight_total"))
-    inside = counts.join(F.broadcast(ranges.where(holds)), "range")  # one row
-    until = F.col("weight_before") + F.sum("n").over(Window.partitionBy("range").orderBy("value"))
-    reached = inside.select("value", "weight_total", until.alias("until")).where(2 * F.col("until") >= F.col("weight_total"))
+    ranges = ranges_of(counts, "n")
+    middle = ranges.middle()
+    inside = counts.where(F.lit(False) if middle is None else F.col("range") == middle)
+    until = F.sum("n").over(Window.partitionBy("range").orderBy("value")) + ranges.before[middle or 0]
+    reached = inside.select("value", until.alias("until")).where(2 * F.col("until") >= ranges.total)
     return reached.agg(F.min("value").alias("median"))
 
 

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from dataclasses import dataclass
+from itertools import accumulate
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.sources.shared import written
@@ -21,11 +24,26 @@ def in_order(df: DataFrame, *keys: Column | str) -> DataFrame:
     return written(ranged.withColumns({"range": F.spark_partition_id(), "place": place}), "ordered")
 
 
-def before_ranges(ordered: DataFrame, weight: Column | None = None) -> DataFrame:
-    """(range, weight_here, weight_before, weight_total): the rows, or sums of ``weight``, of each
-    range, of those before it, and of all. One row a range."""
-    each = ordered.groupBy("range").agg(F.sum(F.lit(1) if weight is None else weight).alias("weight_here"))
-    upwards = Window.orderBy("range")
-    until = F.sum("weight_here").over(upwards.rowsBetween(Window.unboundedPreceding, 0))
-    whole = F.sum("weight_here").over(upwards.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    return each.select("range", "weight_here", (until - F.col("weight_here")).alias("weight_before"), whole.alias("weight_total"))
+@dataclass(frozen=True)
+class Ranges:
+    """What lies in each range and before it, on the driver: one number a range."""
+
+    here: list[int]
+    before: list[int]
+    total: int
+
+    def offset(self) -> Column:
+        """What lies before the range of a row."""
+        return F.element_at(F.lit(self.before), F.col("range") + 1).cast("long")
+
+    def middle(self) -> int | None:
+        """The first range that reaches half of the total; none where the total is 0."""
+        return next((r for r, (h, b) in enumerate(zip(self.here, self.before, strict=True)) if h and 2 * (b + h) >= self.total), None)
+
+
+def ranges_of(ordered: DataFrame, weight: str | None = None) -> Ranges:
+    """The rows, or sums of ``weight``, by range. One job, which brings one row a range to the driver."""
+    each = ordered.groupBy("range").agg(F.sum(F.lit(1) if weight is None else F.col(weight)).alias("here")).collect()
+    found = {row["range"]: row["here"] for row in each}
+    here = [found.get(r, 0) for r in range(max(found, default=0) + 1)]
+    return Ranges(here, [0, *accumulate(here)][:-1], sum(here))
