@@ -60,6 +60,7 @@ def attach(
     key: str,
     how: str = "left",
     skew: Skew = DEFAULT_SKEW,
+    hot: list[tuple[int, int]] | None = None,
 ) -> DataFrame:
     """Join ``table`` to ``lookup`` on ``key``; ``how`` is left or inner.
 
@@ -68,7 +69,8 @@ def attach(
     without limit, null included, which joins with nothing.
 
     A job finds the hot keys when this is called. It reads the key column of ``table``,
-    so a table that is costly to make should be written first. Without hot keys
+    so a table that is costly to make should be written first, or ``hot`` given as found by
+    ``hot_keys`` in a narrow table with the same keys. Without hot keys
     the result is the ordinary join of one scan of each side. With them it still is one
     join of one scan each, on the key and a part number: rows of hot keys are dealt
     out, all others are part 0. Keys of different types are not spread.
@@ -76,8 +78,9 @@ def attach(
     if how not in ("left", "inner"):
         raise ValueError(f"how must be 'left' or 'inner', not {how!r}")
     alike = table.schema[key].dataType == lookup.schema[key].dataType
-    hot = hot_keys(table, key, skew) if alike else []
-    if not hot:
+    if hot is None:
+        hot = hot_keys(table, key, skew) if alike else []
+    if not hot or not alike:
         return table.join(lookup, key, how)
     hash_, parts, part = (unused(name, table, lookup) for name in ("hash", "parts", "part"))
     rows = ", ".join(f"({h}L, {p})" if h != -(1 << 63) else f"(bigint('{h}'), {p})" for h, p in hot)

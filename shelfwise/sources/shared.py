@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 
 SHARED_DIR = "spark.checkpoint.dir"
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _fallback: dict[str, str] = {}
+_folders: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -29,17 +32,31 @@ def shared_dir(spark: SparkSession) -> str:
     return _fallback[application]
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """The same rows, written once to the shared folder and read back.
+def written(df: DataFrame, name: str, beside: DataFrame | None = None) -> DataFrame:
+    """The same rows, written once to the shared folder and read back; with ``beside``, a
+    result of ``written``, together with the rows of that.
 
     This cuts lineage: what reads the result survives lost executors without
-    recomputing ``df``, and Spark knows the size of the table when it plans joins.
-    The tables of an application share a folder, which ``remove_written`` deletes.
+    recomputing ``df``, and Spark knows the size of the table when it plans joins. So the shuffle files of
+    the job are not needed again, and go at its end. The tables of an application share a
+    folder, which ``remove_written`` deletes; ``dropped`` deletes one of them.
     """
     spark = df.sparkSession
-    path = f"{_own_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    path = _folders[beside] if beside is not None else f"{_own_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.mode("append").parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
+    table = spark.read.schema(df.schema).parquet(path)
+    _folders[table] = path
+    return table
+
+
+def dropped(table: DataFrame) -> None:
+    """Deletes a result of ``written`` that nothing will read any more."""
+    remove_folder(table.sparkSession, _folders[table])
 
 
 def _own_dir(spark: SparkSession) -> str:
