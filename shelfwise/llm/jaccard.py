@@ -7,11 +7,13 @@ symmetric difference. Places are single bits in the short sketch, and blocks of
 bits in the sketch that is joined.
 
 **Pigeonhole.** Sets of a and b shingles that share at least P % of their union
-differ in at most ``(100 - P) * (a + b) / (100 + P)`` shingles. With one block
-more than that, two such sets agree on at least one block. The number of blocks
+differ in at most ``(100 - P) * (a + b) / (100 + P)`` shingles, so in at most as many
+blocks. A set with more blocks than that which are not zero shares one of these with each
+partner. Zero blocks, which unlike sets have in common, are therefore left out, except by the few
+sets whose other blocks are too few for this. The number of blocks
 depends on the sizes, so sets are joined per size band: band g holds sizes of its
 own and of the band below, wide enough that partners always meet in the band of
-the larger one.
+the larger one. It is just large enough that hardly any set needs its zero blocks.
 
 **Pairs.** In each block bucket the sets are paired with the least one of the
 bucket, short sketches reject pairs, and the rest are compared shingle by
@@ -20,12 +22,23 @@ only buckets that still hold several components pair members of different
 components. No link between different components can be lost, and a bucket of n
 alike sets costs n comparisons.
 
+Blocks are dealt with in slices, one after the other, which bounds the disk that their
+buckets need at a time. Nothing else depends on the number of slices.
+
 Equal sets (such as exact copies) are one node throughout. Nodes and shingles are
 64-bit hashes.
+
+Defined results: a null, empty or blank text has no shingles, no node, and its own id as
+component; a text of fewer words than a shingle is one shingle; texts are read whole; repeated
+rows are a row each; a null id is never the smallest unless nothing else is in the
+component; two different texts with one id are two documents; an empty table gives an
+empty table; of the input only ``id`` and ``text`` are looked at, so other columns may have any
+name.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import lru_cache, reduce
 
@@ -37,11 +50,13 @@ from pyspark.sql import functions as F
 from shelfwise.llm.components import components
 from shelfwise.llm.shipping import ship
 from shelfwise.llm.words import LOWER, WHITE, Words, mix, runs, words_of
-from shelfwise.operators.attach import attach
-from shelfwise.sources.shared import written
+from shelfwise.functions.names import unused
+from shelfwise.operators.attach import attach, hot_keys
+from shelfwise.sources.shared import dropped, written
 
-SHINGLE = 3
-PERCENT = 90
+SHINGLE = 5
+PERCENT = 80
+SLICES = 4
 #: 64-bit words of the short sketch of a set.
 SHORT = 8
 _U = np.uint64
@@ -71,13 +86,30 @@ def most_different(total: int, percent: int) -> int:
 
 
 @lru_cache(4096)
-def bands(percent: int, size: int) -> tuple[tuple[int, int], ...]:
-    """The two bands of a set, each with its number of blocks."""
-    band, least, following = 0, 1, 100 // percent + 1
+def bands(percent: int, size: int) -> tuple[tuple[int, int, int], ...]:
+    """The two bands of a set, each with its number of blocks and how many of them can differ."""
+    least, band, following = 1, 0, 100 // percent + 1
+    below = 1
     while following <= size:
-        band, least, following = band + 1, following, 100 * following // percent + 1
+        below, least, band, following = least, following, band + 1, 100 * following // percent + 1
     beyond = 100 * following // percent + 1
-    return tuple((band + k, most_different(2 * (end - 1), percent) + 1) for k, end in enumerate((following, beyond)))
+    out = []
+    for number, smallest, end in ((band, below, following), (band + 1, least, beyond)):
+        differ = most_different(2 * (end - 1), percent)
+        out.append((number, _blocks(smallest, differ), differ))
+    return tuple(out)
+
+
+@lru_cache(4096)
+def _blocks(smallest: int, differ: int) -> int:
+    """So many blocks that, of sets of ``smallest`` shingles, nearly all have more than ``differ`` that are not zero."""
+    blocks = differ + 1
+    while blocks < 4 * differ:
+        empty = blocks * math.exp(-smallest / blocks)
+        if blocks - empty - 2.5 * math.sqrt(empty) > differ:
+            break
+        blocks += 1
+    return blocks
 
 
 def node_of(shingles: np.ndarray) -> int:
@@ -96,15 +128,19 @@ def packed(sketch: np.ndarray) -> np.ndarray:
 
 
 def buckets(shingles: np.ndarray, percent: int) -> np.ndarray:
-    """A key for each block of the sorted set, in the band of its size and the next."""
+    """A key for each block of the sorted set that is not zero, in the band of its size and the
+    next; for zero blocks too where the others are too few."""
     until = np.concatenate([[_U(0)], np.bitwise_xor.accumulate(shingles)])
     out = []
-    for band, blocks in bands(percent, len(shingles)):
+    for band, blocks, differ in bands(percent, len(shingles)):
         places = (shingles >> _U(32)) * _U(blocks) >> _U(32)
         edges = np.searchsorted(places, np.arange(blocks + 1, dtype=np.uint64))
         keys = until[edges[1:]] ^ until[edges[:-1]]
         names = np.arange(blocks, dtype=np.uint64) * _U(0xD1342543DE82EF95) + _U(band + 1)
-        out.append(mix(keys ^ mix(names)))
+        some = keys != 0
+        if some.sum() <= differ:
+            some[:] = True
+        out.append(mix(keys[some] ^ mix(names[some])))
     return np.concatenate(out)
 
 
@@ -138,8 +174,8 @@ def _describe(size: int):
     return describe
 
 
-def _emit(size: int, percent: int):
-    """Bucket and node, for each block of each text."""
+def _emit(size: int, percent: int, part: int, parts: int):
+    """Bucket and node, for each block of each text whose bucket is in a slice."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def batch_of(keys, nodes):
@@ -157,7 +193,8 @@ def _emit(size: int, percent: int):
                 if not len(shingles) or (node := node_of(shingles)) in seen:
                     continue
                 seen.add(node)
-                keys.append(buckets(shingles, percent))
+                found = buckets(shingles, percent)
+                keys.append(found[found % _U(parts) == part])
                 nodes.append(node)
                 held += len(keys[-1])
                 if held >= _PER_BATCH:
@@ -205,6 +242,7 @@ def jaccard_groups(
     text: str = "text",
     size: int = SHINGLE,
     percent: int = PERCENT,
+    slices: int = SLICES,
 ) -> DataFrame:
     """One row per document: ``id``, ``text_key``, ``n_shingles``, ``node`` and
     ``component_id``, the smallest id reachable by links. ``text_key`` is the
@@ -213,11 +251,6 @@ def jaccard_groups(
     Two documents link when their sets of ``size``-word shingles share at least
     ``percent`` % of their union. Words are separated by ASCII white space; A-Z
     count as lower case.
-
-    Defined results: a null, empty or blank text has no shingles, no node, and its
-    own id as component; repeated rows are a row each; a null id is never the
-    smallest unless nothing else is in the component; two different texts with
-    one id are two documents.
     """
     ship(docs.sparkSession)
     source = docs.select(F.col(f"`{id}`").alias("id"), F.xxhash64(F.col(f"`{text}`")).alias("key"), F.col(f"`{text}`").alias("text"))
@@ -226,10 +259,13 @@ def jaccard_groups(
     shape = f"id {kind}, key long, n long, node long, " + ", ".join(f"s{k} long" for k in range(SHORT))
     sets = written(source.mapInArrow(_describe(size), shape), "sets")
 
-    members = source.select("text").mapInArrow(_emit(size, percent), "bucket long, node long")
-    ends = members.groupBy("bucket").agg(F.min("node").alias("least"), F.max("node").alias("most"))  # combined before the shuffle
-    least = written(ends.where("least < most").select("bucket", "least"), "least")
-    shared = written(attach(members, least, "bucket", "inner").distinct(), "buckets")
+    shared = None
+    for part in range(slices):
+        members = written(source.select("text").mapInArrow(_emit(size, percent, part, slices), "bucket long, node long"), "members")
+        ends = members.groupBy("bucket").agg(F.min("node").alias("least"), F.max("node").alias("most"))  # combined before the shuffle
+        met = attach(members, ends.where("least < most").select("bucket", "least"), "bucket", "inner").distinct()
+        shared = written(met, "buckets", beside=shared)
+        dropped(members)
 
     nodes = sets.where("node is not null").groupBy("node").agg(
         F.min(F.struct("id", "key")).alias("of"), *[F.first(c).alias(c) for c in ("n", *(f"s{k}" for k in range(SHORT)))]
@@ -250,15 +286,17 @@ def jaccard_groups(
         """The pairs (a, b) of nodes that link, written."""
         a = texts.select(F.col("node").alias("a"), F.col("text").alias("a_text"))
         b = texts.select(F.col("node").alias("b"), F.col("text").alias("b_text"))
-        with_texts = pairs.join(b, "b").join(a, "a").select("a", "b", "a_text", "b_text")
+        with_texts = attach(pairs.join(b, "b"), a, "a", "inner", hot=hot_keys(pairs, "a")).select("a", "b", "a_text", "b_text")
         return written(with_texts.mapInArrow(_compare(size, percent), "a long, b long"), "links")
 
     def possible(pairs: DataFrame) -> DataFrame:
-        x, y = _named(sketches.drop("of"), "x_"), _named(sketches.drop("of"), "y_")
-        met = pairs.join(x, F.col("a") == F.col("x_node")).join(y, F.col("b") == F.col("y_node"))
-        return met.where(_near(percent)).select("a", "b")
+        """Of written pairs those whose short sketches leave a link possible, written. One node can
+        be in very many pairs."""
+        x, y = _named(sketches.drop("of"), "x_").withColumnRenamed("x_node", "a"), _named(sketches.drop("of"), "y_").withColumnRenamed("y_node", "b")
+        met = attach(attach(pairs, x, "a", "inner"), y, "b", "inner", hot=hot_keys(pairs, "b"))
+        return written(met.where(_near(percent)).select("a", "b"), "possible")
 
-    first = linked(possible(shared.where("node > least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct()))
+    first = linked(possible(written(shared.where("node > least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct(), "pairs")))
     joined = components(first)
 
     placed = shared.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
@@ -272,7 +310,7 @@ def jaccard_groups(
         & (F.col("x_node") != F.col("x_least"))
         & _near(percent),
     )
-    second = linked(met.select(F.col("x_node").alias("a"), F.col("y_node").alias("b")).distinct())
+    second = linked(written(met.select(F.col("x_node").alias("a"), F.col("y_node").alias("b")).distinct(), "second"))
     final = components(first.unionByName(second))
 
     placed = attach(sets.select("id", "key", "n", "node"), final, "node").withColumn("component", F.coalesce("component", "node"))
@@ -295,19 +333,21 @@ def keep_one_of_each_group(
 ) -> DataFrame:
     """The documents without shingles, and of each component of ``jaccard_groups`` the
     one with the smallest id. Rows of one id and text, too, are one document; of two
-    texts with the smallest id, that with the smaller hash stays."""
-    groups = written(jaccard_groups(docs, id, text, size, percent), "groups")
+    texts with the smallest id, that with the smaller hash stays. All columns are kept, whatever
+    their names."""
+    groups = written(jaccard_groups(docs, id, text, size, percent), "groups").withColumnRenamed(id, "of_id")
+    of_id, of_key, rows = (unused(name, docs) for name in ("of_id", "of_key", "rows"))
     linked = groups.where("node is not null")
-    kept = linked.groupBy("component_id").agg(F.min(F.struct(F.col(f"`{id}`"), F.col("text_key"))).alias("kept")).select("kept.*")
-    rows = linked.groupBy(F.col(f"`{id}`").alias("of_id"), F.col("text_key").alias("of_key")).count()
-    own_id, key = F.col(f"`{id}`"), F.when(F.col(f"`{text}`").isNotNull(), F.xxhash64(F.col(f"`{text}`")))
+    kept = linked.groupBy("component_id").agg(F.min(F.struct("of_id", "text_key")).alias("kept")).select("kept.*")
+    repeats = linked.groupBy(F.col("of_id").alias("id"), F.col("text_key").alias("key")).agg(F.count("*").alias("rows"))
     counted = written(
-        kept.join(rows, kept[id].eqNullSafe(F.col("of_id")) & (kept["text_key"] == F.col("of_key"))).select("of_id", "of_key", "count"), "kept"
+        kept.join(repeats, F.col("of_id").eqNullSafe(F.col("id")) & (F.col("text_key") == F.col("key"))).select("id", "key", "rows"), "kept"
     )
-    bare = groups.where("node is null").select(F.col(f"`{id}`").alias("of_id"), F.col("text_key").alias("of_key"), F.lit(1).alias("count")).distinct()
-    chosen = counted.unionByName(bare)
-    found = docs.join(chosen, own_id.eqNullSafe(F.col("of_id")) & key.eqNullSafe(F.col("of_key"))).drop("of_id", "of_key")
-    if counted.where("count > 1").isEmpty():
-        return found.drop("count")
-    repeated = found.where(F.col("count") > 1).drop("count").dropDuplicates([id, text])
-    return found.where(F.col("count") == 1).drop("count").unionByName(repeated)
+    bare = groups.where("node is null").select(F.col("of_id").alias("id"), F.col("text_key").alias("key"), F.lit(1).alias("rows")).distinct()
+    chosen = counted.unionByName(bare).select(F.col("id").alias(of_id), F.col("key").alias(of_key), F.col("rows").alias(rows))
+    own_id, key = F.col(f"`{id}`"), F.when(F.col(f"`{text}`").isNotNull(), F.xxhash64(F.col(f"`{text}`")))
+    found = docs.join(chosen, own_id.eqNullSafe(F.col(of_id)) & key.eqNullSafe(F.col(of_key))).drop(of_id, of_key)
+    if counted.where("rows > 1").isEmpty():
+        return found.drop(rows)
+    repeated = found.where(F.col(rows) > 1).drop(rows).dropDuplicates([id, text])
+    return found.where(F.col(rows) == 1).drop(rows).unionByName(repeated)

@@ -106,7 +106,7 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_groups(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+    return jaccard_groups(table(spark, sf_dir, "documents"), size=3, percent=90).select("doc_id", "n_shingles", "component_id")
 
 
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -73,7 +73,7 @@ def test_line_stage(steps, folder):
 
 def test_near_duplicate_stage(steps):
     texts = {int(r.doc_id): r.text for r in steps[2].itertuples() if r.doc_id == r.doc_id}
-    groups = groups_by_hand(texts, 3, 90)
+    groups = groups_by_hand(texts, 5, 80)
     wanted = sorted(k for k, (n, component) in groups.items() if component == k)
     assert [x for x in ids(steps[3]) if x >= 0] == wanted
     assert 900_001 in wanted and 900_002 not in wanted
