@@ -13,8 +13,9 @@ the threshold, and one site at least.
 Defined results: a null text stays null and has no lines, an empty one has one blank
 line; a null site counts for no site; lines of rows with a null id are never the
 first unless all are; repeated rows (same id, same text) are one document, each row
-with its result; an empty table gives an empty table. Columns of the input that have
-the name of a result are replaced.
+with its result; an empty table gives an empty table; texts are split whole, however long.
+Columns of the input that have the name of a result are replaced, all others are kept,
+whatever their names.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfwise.functions.names import unused
 from shelfwise.operators.attach import attach
 from shelfwise.sources.shared import written
 
@@ -94,20 +96,21 @@ def line_dedup(
         again = F.coalesce(F.get("found", i - 1)["line"] == line["line"], F.lit(False))
         return ~line["home"] | again
 
-    removed = found.select(
-        F.col("id").alias("of_id"), F.col("key").alias("of_key"), F.transform(F.filter("found", goes), lambda x: x["place"]).alias("removed")
+    of_id, of_key, removed = (unused(name, left) for name in ("of_id", "of_key", "removed"))
+    places = found.select(
+        F.col("id").alias(of_id), F.col("key").alias(of_key), F.transform(F.filter("found", goes), lambda x: x["place"]).alias(removed)
     )
     with_places = left.join(
-        removed, (_row_key(own_id, own_text) == F.col("of_key")) & own_id.eqNullSafe(F.col("of_id")), "left"
+        places, (_row_key(own_id, own_text) == F.col(of_key)) & own_id.eqNullSafe(F.col(of_id)), "left"
     )
-    parts, gone = F.split(own_text, "\n"), F.size("removed")
+    parts, gone = F.split(own_text, "\n"), F.size(removed)
     kept = F.when(F.coalesce(gone, F.lit(0)) <= 0, own_text).otherwise(
         F.array_join(
             F.element_at(
                 F.transform(
                     F.array(F.struct(parts.alias("parts"))),
                     lambda x: F.transform(
-                        F.array_except(F.sequence(F.lit(0), F.size(x["parts"]) - 1), F.col("removed")), lambda i: F.get(x["parts"], i)
+                        F.array_except(F.sequence(F.lit(0), F.size(x["parts"]) - 1), F.col(removed)), lambda i: F.get(x["parts"], i)
                     ),
                 ),
                 1,

@@ -7,7 +7,6 @@ those against brute force.
 
 from __future__ import annotations
 
-from shelfwise.llm.quality_rules import SLACK, TWO_SIDED
 from shelfwise.llm.secret_scan import BASE_RULES, RULES, Rule
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -38,19 +37,24 @@ from d left join v using (doc_id)
 """
 
 _WORDS = f"regexp_extract_all(coalesce(text, ''), '{WHITE_WORDS}')"
-_FENCED = tuple(SLACK)
-_LIMITS = ", ".join(
-    f"quantile_disc({r}, 0.25) as {r}_low, quantile_disc({r}, 0.75) as {r}_high" for r in _FENCED
-)
+_LIMITS = """quantile_disc(symbol_rate, 0.25) as symbol_rate_low, quantile_disc(symbol_rate, 0.75) as symbol_rate_high,
+   quantile_disc(repeat_rate, 0.875) as repeat_rate_low, quantile_disc(repeat_rate, 0.984375) as repeat_rate_high,
+   quantile_disc(dup_line_rate, 0.875) as dup_line_rate_low, quantile_disc(dup_line_rate, 0.984375) as dup_line_rate_high,
+   quantile_disc(word_length, 0.25) as word_length_low, quantile_disc(word_length, 0.75) as word_length_high"""
 
 
 def _bound(rate: str, which: str) -> str:
     return f"case when g.n >= 100 then g.{rate}_{which} when l.n >= 100 then l.{rate}_{which} end"
 
 
+def _most(rate: str, spreads: int, slack: int) -> str:
+    high, low = _bound(rate, "high"), _bound(rate, "low")
+    return f"coalesce({rate} <= {high} + {spreads} * ({high} - {low}) + {slack}, true)"
+
+
 _WITHIN = " and ".join(
-    [f"coalesce({r} <= {_bound(r, 'high')} + 3 * ({_bound(r, 'high')} - {_bound(r, 'low')}) + {SLACK[r]}, true)" for r in _FENCED]
-    + [f"coalesce({r} >= {_bound(r, 'low')} - 3 * ({_bound(r, 'high')} - {_bound(r, 'low')}) - {SLACK[r]}, true)" for r in TWO_SIDED]
+    [_most("symbol_rate", 3, 300), _most("repeat_rate", 2, 100), _most("dup_line_rate", 2, 100), _most("word_length", 3, 150),
+     f"coalesce(word_length >= {_bound('word_length', 'low')} - 3 * ({_bound('word_length', 'high')} - {_bound('word_length', 'low')}) - 150, true)"]
 )
 
 QUALITY_RULES = f"""

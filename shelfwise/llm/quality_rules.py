@@ -6,7 +6,8 @@ from mergeable quantile sketches per language and source.
 Defined results: a null or empty text has no words and fails the base rules;
 null languages and sources form groups of their own; repeated rows are judged
 each; an empty table gives an empty table. A column of the input that has the
-name of the result is replaced; any other column is passed on.
+name of the result is replaced; any other column is passed on, whatever its name; texts are
+judged whole, however long.
 """
 
 from __future__ import annotations
@@ -23,11 +24,17 @@ WINDOW = 5
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 
-#: Rate -> slack that is added to its fences. Rates are whole numbers per 10,000,
-#: word_length is in hundredths of a code point.
-SLACK = {"symbol_rate": 300, "repeat_rate": 1500, "dup_line_rate": 5000, "word_length": 150}
+#: Rate -> two quantiles, how often their distance is added to the outer one, and a slack. Rates
+#: are whole numbers per 10,000, word_length is in hundredths of a code point. Repeats are 0 in
+#: most documents, so their fences come from the upper tail; quartiles would be 0 as well.
+#: The quantiles are exact in binary, so every engine takes the same rows.
+FENCES = {
+    "symbol_rate": (0.25, 0.75, 3, 300),
+    "repeat_rate": (0.875, 0.984375, 2, 100),
+    "dup_line_rate": (0.875, 0.984375, 2, 100),
+    "word_length": (0.25, 0.75, 3, 150),
+}
 TWO_SIDED = ("word_length",)
-SPREADS = 3
 MIN_GROUP = 100
 SKETCH_SIZE = 4096
 
@@ -72,7 +79,7 @@ def _words_in_repeats(words: Column, n_words: Column) -> Column:
 
 def statistics(docs: DataFrame, text: str, into: str, drop: Sequence[str] = ()) -> DataFrame:
     """The input with a struct column of the base statistics of whole texts."""
-    whole = F.coalesce(F.col(text), F.lit(""))
+    whole = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     words, lines = f"{into}_words_", f"{into}_lines_"
     split = docs.withColumns(
         {
@@ -122,21 +129,21 @@ def fences(stats: DataFrame, into: str, lang: str, source: str, min_group: int =
     s = F.col(into)
     passed = stats.where(~_failed(s)).select(F.col(lang).alias("lang"), F.col(source).alias("source"), *[c.alias(r) for r, c in _rates(s).items()])
     groups = passed.groupBy("lang", "source").agg(
-        F.count("*").alias("n"), *[F.kll_sketch_agg_bigint(r, SKETCH_SIZE).alias(r) for r in SLACK]
+        F.count("*").alias("n"), *[F.kll_sketch_agg_bigint(r, SKETCH_SIZE).alias(r) for r in FENCES]
     )
     groups = written(groups, "sketches")
     langs = groups.groupBy(F.col("lang").alias("of")).agg(
-        F.sum("n").alias("lang_n"), *[F.kll_merge_agg_bigint(r, SKETCH_SIZE).alias(f"lang_{r}") for r in SLACK]
+        F.sum("n").alias("lang_n"), *[F.kll_merge_agg_bigint(r, SKETCH_SIZE).alias(f"lang_{r}") for r in FENCES]
     )
     both = groups.join(langs, groups["lang"].eqNullSafe(langs["of"]), "left")
     large, fair = F.col("n") >= min_group, F.col("lang_n") >= min_group
     limits = []
-    for rate, slack in SLACK.items():
+    for rate, (lower, upper, spreads, slack) in FENCES.items():
         sketch = F.when(large, F.col(rate)).when(fair, F.col(f"lang_{rate}"))
-        low, high = (F.kll_sketch_get_quantile_bigint(sketch, F.lit(q)) for q in (0.25, 0.75))
-        limits.append((high + SPREADS * (high - low) + slack).alias(f"most_{rate}"))
+        low, high = (F.kll_sketch_get_quantile_bigint(sketch, F.lit(q)) for q in (lower, upper))
+        limits.append((high + spreads * (high - low) + slack).alias(f"most_{rate}"))
         if rate in TWO_SIDED:
-            limits.append((low - SPREADS * (high - low) - slack).alias(f"least_{rate}"))
+            limits.append((low - spreads * (high - low) - slack).alias(f"least_{rate}"))
     return both.select("lang", "source", *limits)
 
 
@@ -157,7 +164,7 @@ def quality_rules(
     within the fences of its language and source. The statistics are written
     once to the shared folder; the fences and the verdict both read them.
     """
-    keys = {f"{into}_lang_": F.col(lang), f"{into}_source_": F.col(source)}
+    keys = {f"{into}_lang_": F.col(f"`{lang}`"), f"{into}_source_": F.col(f"`{source}`")}
     stats = written(statistics(docs.withColumns(keys), text, into, drop), "statistics")
     bounds = written(fences(stats, into, *keys, min_group), "fences")
     s = F.col(into)
@@ -168,7 +175,7 @@ def quality_rules(
     )
     limit = F.col(f"{into}_fence_")
     within = F.lit(True)
-    for rate in SLACK:
+    for rate in FENCES:
         within &= F.coalesce(rates[rate] <= limit[f"most_{rate}"], F.lit(True))
         if rate in TWO_SIDED:
             within &= F.coalesce(rates[rate] >= limit[f"least_{rate}"], F.lit(True))

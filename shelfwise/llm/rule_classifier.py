@@ -117,10 +117,10 @@ def fit_rules(
     known = known if usable is None else known.where(usable)
     good = known.groupBy(F.col(id).alias("of")).agg((F.avg(label) >= 0.5).cast("double").alias("label"))
     sample = good.orderBy(F.xxhash64("of"), "of").limit(sample_rows)
-    whole = F.coalesce(F.col(f"`{text}`"), F.lit(""))
-    statistics = text_statistics(whole)
+    statistics = text_statistics(F.coalesce(F.col("whole"), F.lit("")))
     names = list(statistics)
-    rows = docs.join(F.broadcast(sample), F.col(f"`{id}`") == F.col("of"))  # at most sample_rows rows
+    texts = docs.select(F.col(f"`{id}`").alias("of"), F.col(f"`{text}`").alias("whole"))
+    rows = texts.join(F.broadcast(sample), "of")  # at most sample_rows rows
     table = written(rows.select("of", "label", *[c.alias(n) for n, c in statistics.items()]), "labelled")
     counts = table.agg(F.count("*").alias("n"), F.coalesce(F.sum("label"), F.lit(0.0)).alias("good")).first()
     if counts["good"] in (0, counts["n"]):

@@ -1,12 +1,16 @@
 """Nulls, empty and very long texts, ties, repeated rows, empty tables and clashing names."""
 
 import hashlib
+import pickle
+import tracemalloc
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from shelfwise.llm import decontaminate as module
-from shelfwise.llm.decontaminate import decontaminate
+from shelfwise.llm.decontaminate import compile_items, decontaminate
 from shelfwise.llm.jaccard import jaccard_groups, keep_one_of_each_group
 from shelfwise.llm.license_scan import license_scan
 from shelfwise.llm.line_dedup import line_dedup
@@ -16,6 +20,7 @@ from shelfwise.llm.secret_scan import secret_scan
 from shelfwise.llm.sentence_pieces import decode_pieces, encode_pieces
 from shelfwise.llm.suffix_dedup import suffix_dedup
 from shelfwise.llm.url_filter import url_filter
+from shelfwise.llm.words import NON_ALNUM, words_of
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_words long, found string"
 LONG = " ".join(f"w{i % 977}x{i % 7}" for i in range(60_000))
@@ -184,3 +189,48 @@ def test_scores_without_labels(spark, docs):
 def test_hash_of_nothing(docs):
     found = secret_scan(docs).where("doc_id = 1").select(F.sha2(F.array_join(F.transform("secrets", lambda s: s["kind"]), ","), 256)).first()[0]
     assert found == hashlib.sha256(b"").hexdigest()
+
+
+HELPERS = "a b at bucket content count first found gram group hash id key kinds label least line node of of_id of_key part parts place removed row rows" \
+    " site spans spans_ of_id_ text_key whole words".split()
+CLASHING = {
+    **OPERATORS,
+    "near duplicates": keep_one_of_each_group,
+    "scores": lambda d: score_documents(d, fit_rules(d, d.select(F.col("doc_id"), (F.col("doc_id") % 2).alias("quality")))),
+    "quality stage": lambda d: corpus_pipeline.quality(d.sparkSession, d, ""),
+    "line stage": lambda d: corpus_pipeline.lines(d.sparkSession, d.withColumn("n_chars", F.lit(0)), "").drop("n_chars"),
+    "near-duplicate stage": lambda d: corpus_pipeline.near_duplicates(d.sparkSession, d, ""),
+    "piece stage": lambda d: corpus_pipeline.pieces(d.sparkSession, d, ""),
+}
+
+
+@pytest.mark.parametrize("name", CLASHING)
+def test_columns_with_names_of_helpers_are_kept(docs, name):
+    table = docs.drop("found").withColumns({h: F.concat(F.lit(h), F.col("doc_id").cast("string")) for h in HELPERS if h not in OPERATORS})
+    result = CLASHING[name](table)
+    assert set(table.columns) <= set(result.columns) and len(set(result.columns)) == len(result.columns)
+    own = [h for h in HELPERS if h != "found"]
+    rows = result.where("doc_id is not null").select("doc_id", *[f"`{h}`" for h in own]).collect()
+    assert rows and all(r[h] == f"{h}{r['doc_id']}" for r in rows for h in own)
+
+
+def test_a_block_of_items_is_small():
+    """8 MB of different words: what is broadcast, and what compiling takes besides."""
+    words = [f"w{i * 7919 % 1_000_003:x}" for i in range(1_300_000)]
+    texts = [" ".join(words[k : k + 100]) for k in range(0, len(words), 100)]
+    assert sum(map(len, texts)) > 7 << 20
+    tracemalloc.start()
+    tables = compile_items(texts, 10)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(pickle.dumps(tables)) < 200e6 and peak < 500e6
+
+
+def test_a_common_pair_of_words_costs_no_more_than_others():
+    """Windows that end alike share a bucket, and a text repeats their end: still one look-up a place."""
+    texts = [" ".join([*(f"x{i}y{k}" for k in range(8)), "of", "the"]) for i in range(50_000)]
+    (patterns,) = compile_items(texts, 10)
+    low = ("of the " * 200_000 + texts[7]).encode()
+    data = np.frombuffer(low, np.uint8)
+    places, numbers = patterns.search(words_of(data, np.array([0, len(data)]), NON_ALNUM), low)
+    assert places.tolist() == [400_000] and patterns.owners[patterns.bounds[numbers[0]]] == 7
