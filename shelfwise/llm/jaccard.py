@@ -17,8 +17,10 @@ the larger one. It is just large enough that hardly any set needs its zero block
 
 **Pairs.** In each block bucket the sets are paired with the least one of the
 bucket, short sketches reject pairs, and the rest are compared shingle by
-shingle. Sets that are linked by then need no more comparing with each other, so
-only buckets that still hold several components pair members of different
+shingle. Sets that are linked by then need no more comparing with each other. Buckets that
+still hold several components pair their members with a hub, the one that is in the most such buckets:
+near copies that are far from each other are all close to what they were made from. Only
+buckets that hold several components after that pair members of different
 components. No link between different components can be lost, and a bucket of n
 alike sets costs n comparisons.
 
@@ -57,6 +59,8 @@ from shelfwise.sources.shared import dropped, written
 SHINGLE = 5
 PERCENT = 80
 SLICES = 4
+#: Rounds in which the members of a bucket are paired with its hub.
+HUB_ROUNDS = 1
 #: 64-bit words of the short sketch of a set.
 SHORT = 8
 _U = np.uint64
@@ -297,11 +301,20 @@ def jaccard_groups(
         return written(met.where(_near(percent)).select("a", "b"), "possible")
 
     first = linked(possible(written(shared.where("node > least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct(), "pairs")))
-    joined = components(first)
-
-    placed = shared.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed = placed.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
-    rest = written(placed.join(mixed.select("bucket"), "bucket", "left_semi").join(sketches.drop("of"), "node"), "rest")
+    def mixed(links: DataFrame) -> DataFrame:
+        """The members, with sketches, of buckets that hold several components, written."""
+        placed = shared.join(components(links), "node", "left").withColumn("component", F.coalesce("component", "node"))
+        several = placed.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
+        return written(placed.join(several.select("bucket"), "bucket", "left_semi").join(sketches.drop("of"), "node"), "rest")
+
+    rest = mixed(first)
+    for _ in range(HUB_ROUNDS):
+        degrees = rest.groupBy("node").agg(F.count("*").alias("degree"))
+        hubs = rest.select("bucket", "node").join(degrees, "node").groupBy("bucket").agg(F.max(F.struct("degree", "node")).alias("top"))
+        spokes = attach(rest.select("bucket", "node"), hubs.select("bucket", F.col("top.node").alias("hub")), "bucket", "inner")
+        pairs = spokes.where("node <> hub").select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"))
+        first = first.unionByName(linked(possible(written(pairs.distinct(), "pairs"))))
+        rest = mixed(first)
     met = _named(rest, "x_").join(
         _named(rest, "y_"),
         (F.col("x_bucket") == F.col("y_bucket"))
