@@ -7,14 +7,15 @@ expression without mandatory trigrams is searched in every document. Documents a
 keyed by a hash of the whole row, so that copies of a text do not meet in one task; a
 collision could only add a candidate.
 
-Defined results: a null text is empty; repeated rows are scanned each; an empty
+Defined results: a null text is empty; very long texts and texts of very many matches
+are searched whole, in time linear in both; repeated rows are scanned each; an empty
 table gives an empty table. A column of the input that has the name of the result
 is replaced.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -57,6 +58,8 @@ MORE_RULES = (
     Rule("payment_key", r"sk_live_[A-Za-z0-9]+", 0, 24),
 )
 RULES = BASE_RULES + MORE_RULES
+#: Numbers that are summed up in one run of ``running_sums``.
+RUN = 256
 
 
 def postings(texts: DataFrame, trigrams: Sequence[str]) -> DataFrame:
@@ -86,26 +89,58 @@ def candidates(texts: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     return present.select("key", kinds.alias("kinds")).where(F.size("kinds") > 0)
 
 
-def _matches(text: Column, rule: Rule, number: int) -> Column:
-    """Structs (start, number, end, kind) of the matches in code points."""
+def running_sums(numbers: Column) -> Column:
+    """The sum of each number of an array of int and of all before it.
+
+    An aggregate that appends copies its array at every step, so sums are taken in runs
+    of ``RUN`` numbers, and the sums of whole runs are carried to the next ones: the
+    cost is linear up to some RUN * RUN numbers.
+    """
+    none = F.array().cast("array<int>")
+
+    def appended(numbers: Column) -> Column:
+        return F.aggregate(numbers, none, lambda sums, x: F.concat(sums, F.array(F.coalesce(F.get(sums, F.size(sums) - 1), F.lit(0)) + x)))
+
+    def joined(numbers: Column) -> Column:
+        count = F.ceil(F.size(numbers) / RUN).cast("int")
+        runs = F.transform(F.sequence(F.lit(1), F.greatest(count, F.lit(1))), lambda k: appended(F.slice(numbers, (k - 1) * RUN + 1, F.lit(RUN))))
+        return _let(runs, carried)
+
+    def carried(runs: Column) -> Column:
+        totals = appended(F.transform(runs, lambda run: F.coalesce(F.get(run, F.size(run) - 1), F.lit(0))))
+        before = F.concat(F.array(F.lit(0)), F.slice(totals, F.lit(1), F.size(totals) - 1))
+        return F.flatten(F.zip_with(runs, before, lambda run, base: F.transform(run, lambda x: x + base)))
+
+    return _let(numbers, joined)
+
+
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often it is named."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+#: Matches of one rule in a text: characters before (since the last), of the match, of the group.
+_FOUND = "array<struct<gap:int,size:int,judged:int>>"
+
+
+def _found(text: Column, rule: Rule) -> Column:
+    """The matches of a rule, of type ``_FOUND``, in code points."""
     pattern = f"({rule.pattern})"
     gaps = F.regexp_extract_all(text, F.lit(r"\G([\s\S]*?)" + pattern), F.lit(1))
     whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(1))
     judged = F.regexp_extract_all(text, F.lit(pattern), F.lit(rule.group + 1))
-    lengths = F.zip_with(
-        F.zip_with(gaps, whole, lambda g, w: F.struct(F.length(g).alias("gap"), F.length(w).alias("size"))),
-        judged,
-        lambda x, j: F.struct(x["gap"].alias("gap"), x["size"].alias("size"), F.length(j).alias("judged")),
-    )
-    empty = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,number:int,end:int,kind:string>>").alias("spans"))
+    sizes = F.zip_with(gaps, whole, lambda g, w: F.struct(F.length(g).alias("gap"), F.length(w).alias("size")))
+    return F.zip_with(sizes, judged, lambda x, j: F.struct(x["gap"].alias("gap"), x["size"].alias("size"), F.length(j).alias("judged")))
 
-    def step(state: Column, x: Column) -> Column:
-        start = state["at"] + x["gap"]
-        span = F.struct(start.alias("start"), F.lit(number).alias("number"), (start + x["size"]).alias("end"), F.lit(rule.kind).alias("kind"))
-        fits = x["judged"] >= rule.least
-        return F.struct((start + x["size"]).alias("at"), F.when(fits, F.concat(state["spans"], F.array(span))).otherwise(state["spans"]).alias("spans"))
 
-    return F.aggregate(lengths, empty, step, lambda state: state["spans"])
+def _spans(rule: Column) -> Column:
+    """Structs (start, number, end, kind) of a rule's (number, kind, least, found)."""
+    ends = running_sums(F.transform(rule["found"], lambda x: x["gap"] + x["size"]))
+    placed = F.zip_with(rule["found"], ends, lambda x, end: F.struct(x["size"].alias("size"), x["judged"].alias("judged"), end.alias("end")))
+    return F.transform(
+        F.filter(placed, lambda x: x["judged"] >= rule["least"]),
+        lambda x: F.struct((x["end"] - x["size"]).alias("start"), rule["number"].alias("number"), x["end"].alias("end"), rule["kind"].alias("kind")),
+    )
 
 
 def _likely(rule: Rule) -> str:
@@ -125,12 +160,19 @@ def secret_scan(docs: DataFrame, text: str = "text", rules: Sequence[Rule] = RUL
         texts = left.select(key.alias("key"), whole.alias("text"))
         likely = candidates(texts, indexed).select(F.col("key").alias(f"{into}_of_"), F.col("kinds").alias(kinds))
         joined = left.join(likely, key == F.col(f"{into}_of_"), "left")
-    none = F.array().cast("array<struct<start:int,number:int,end:int,kind:string>>")
-    spans = [
-        F.when(F.array_contains(kinds, rule.kind) if rule in indexed else whole.rlike(_likely(rule)), _matches(whole, rule, k)).otherwise(none)
-        for k, rule in enumerate(rules)
+    none = F.array().cast(_FOUND)
+    found = [
+        F.when(F.array_contains(kinds, rule.kind) if rule in indexed else whole.rlike(_likely(rule)), _found(whole, rule)).otherwise(none)
+        for rule in rules
     ]
-    return joined.select(*[F.col(f"`{c}`") for c in left.columns], F.array_sort(F.flatten(F.array(*spans))).alias(into))
+    each = F.array(
+        *[
+            F.struct(F.lit(k).alias("number"), F.lit(rule.kind).alias("kind"), F.lit(rule.least).alias("least"), matches.alias("found"))
+            for k, (rule, matches) in enumerate(zip(rules, found, strict=True))
+        ]
+    )
+    spans = F.flatten(F.transform(each, _spans))
+    return joined.select(*[F.col(f"`{c}`") for c in left.columns], F.array_sort(spans).alias(into))
 
 
 def as_text(spans: Column) -> Column:

@@ -4,10 +4,14 @@ import hashlib
 import random
 import re
 import zlib
+from itertools import accumulate
+from math import exp
+from time import monotonic
 
 import duckdb
 import numpy as np
 import pytest
+import regex
 import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -17,10 +21,11 @@ from shelfwise.llm import induced_sort
 from shelfwise.llm.components import components
 from shelfwise.llm.induced_sort import END, FIRST, STOP, sorted_suffixes
 from shelfwise.llm.jaccard import jaccard_groups
-from shelfwise.llm.license_scan import NOTICES, license_scan
+from shelfwise.llm.license_scan import NOTICES, PHRASES, license_scan, most_errors
 from shelfwise.llm.piece_model import Encoder, PieceModel
 from shelfwise.llm.queries import op1_rule_classifier, op3_sentence_pieces, op7_license_scan
-from shelfwise.llm.secret_scan import RULES
+from shelfwise.llm.rule_classifier import fit_rules, score_documents
+from shelfwise.llm.secret_scan import BASE_RULES, RULES, RUN, running_sums, secret_scan
 from shelfwise.llm.sentence_pieces import MODEL
 from shelfwise.llm.suffix_dedup import suffix_dedup
 from shelfwise.llm.trigrams import trigram_query
@@ -248,3 +253,107 @@ def test_duck_and_hand_agree_on_suffixes(spark, sf_dir):
     duck.executemany("insert into documents values (?, ?)", list(texts.items()))
     hashes = {row[0]: row[4] for row in duck.execute(SUFFIX_DEDUP).fetchall()}
     assert hashes == {k: hashlib.sha256(v).hexdigest() for k, v in removed_by_hand(texts, 50).items()}
+
+
+@pytest.mark.parametrize("n", [0, 1, RUN - 1, RUN, RUN + 1, 5 * RUN + 3])
+def test_running_sums(spark, n):
+    numbers = [(7 * k) % 11 for k in range(n)]
+    found = spark.createDataFrame([(numbers,)], "x array<int>").select(running_sums(F.col("x")).alias("sums")).first()
+    assert found["sums"] == list(accumulate(numbers))
+
+
+def test_secrets_of_a_text_full_of_them(spark):
+    """Places equal those of the ``re`` library, with dropped matches in between."""
+    pieces = [f"é token = {k:0{4 + k % 7}d}, {k * 7919:0{22 + k % 4}x} AKIA{'Q' * (14 + k % 4)}\n" for k in range(3000)]
+    texts = ["".join(pieces), "", None, pieces[6] * 2]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for row in secret_scan(docs, rules=BASE_RULES).collect():
+        text = texts[row["doc_id"]] or ""
+        by_hand = sorted(
+            (m.start(), number, m.end(), rule.kind)
+            for number, rule in enumerate(BASE_RULES)
+            for m in re.finditer(rule.pattern, text)
+            if len(m[rule.group]) >= rule.least
+        )
+        assert [tuple(s) for s in row["secrets"]] == by_hand
+
+
+def test_many_secrets_cost_linear_time(spark):
+    """40,000 in one text; copying what was found at each of them would take minutes."""
+    text = " ".join(f"{k:024x}" for k in range(40_000))
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    start = monotonic()
+    found = secret_scan(docs).select(F.size("secrets").alias("n"), F.get("secrets", F.lit(39_999)).alias("last")).first()
+    assert found["n"] == 40_000 and found["last"]["end"] == len(text)
+    assert monotonic() - start < 30
+
+
+def statistics_by_hand(text):
+    words = [w for w in re.split(r"[\x20\x09-\x0D]+", text) if w]
+    lines = [line for line in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", line)]
+    chars, n_words, n_lines = max(len(text), 1), max(len(words), 1), max(len(lines), 1)
+    return {
+        "words": len(words),
+        "word_length": len(text) / n_words,
+        "distinct_words": len(set(words)) / n_words,
+        "distinct_lines": len(set(lines)) / n_lines,
+        "line_words": n_words / n_lines,
+        "symbols": sum(c in "#*$%&|<>" for c in text) / chars,
+        "marks": sum(c in "!?" for c in text) / chars,
+        "capitals": sum("A" <= c <= "Z" for c in text) / chars,
+        "digits": sum("0" <= c <= "9" for c in text) / chars,
+        "stops": sum(c in ".,;" for c in text) / chars,
+    }
+
+
+def test_scores_from_rules(spark, sf_dir):
+    """Every score of the table, from the fitted rules and the whole text."""
+    docs, labels = (spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in ("documents", "labels"))
+    odd = spark.createDataFrame([(-1, ""), (-2, None), (-3, " \t\n\x0b\n"), (-4, "É É\n\né! A9.\n")], "doc_id long, text string")
+    docs = docs.select("doc_id", "text").unionByName(odd)
+    model = fit_rules(docs, labels)
+    assert model.rules
+    for row in score_documents(docs, model).collect():
+        known = statistics_by_hand(row["text"] or "")
+        total = model.intercept
+        for weight, conditions in model.rules:
+            if all(known[name] > value if above else known[name] <= value for name, above, value in conditions):
+                total += weight
+        assert row["score"] == pytest.approx(1 / (1 + exp(-total)), abs=1e-12)
+
+
+def noisy(notice, edits, rng):
+    letters = list(notice)
+    for _ in range(edits):
+        at, kind = rng.randrange(len(letters)), rng.randrange(3)
+        if kind == 0:
+            del letters[at]
+        elif kind == 1:
+            letters.insert(at, rng.choice("abcé 1"))
+        else:
+            letters[at] = rng.choice("xyzü ")
+    return "".join(letters)
+
+
+def test_notices_as_by_a_search_of_the_whole_text(spark):
+    """Labels and scores equal those of the bounded-error search without seeds."""
+    rng, texts = random.Random(5), []
+    filler = "lorem the license of software und möglich this work 2 0 terms".split()
+    for k in range(180):
+        notice = NOTICES[k % len(NOTICES)][0]
+        parts = [noisy(notice, rng.randrange(most_errors(notice) + 3), rng) for _ in range(1 + k % 2)]
+        texts.append(" ".join(" ".join([*rng.choices(filler, k=rng.randrange(12)), part]) for part in parts))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for row in license_scan(docs).collect():
+        words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", texts[row["doc_id"]])
+        flat = " ".join(words) + "\n"
+        labels = {label for phrase, label in PHRASES if re.search(rf"(?<![^ ]){phrase}(?![^ \n])", flat)}
+        score = 1.0 if labels else 0.0
+        for notice, label in NOTICES:
+            most = most_errors(notice)
+            if hit := regex.search(f"(?b)(?:{notice}){{e<={most}}}", flat):
+                labels.add(label)
+                score = max(score, 1 - sum(hit.fuzzy_counts) / (most + 1))
+        found = row["licenses"]
+        assert found["labels"] == sorted(labels)
+        assert found["score"] == pytest.approx(score)
