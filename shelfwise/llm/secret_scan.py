@@ -8,7 +8,7 @@ keyed by a hash of the whole row, so that copies of a text do not meet in one ta
 collision could only add a candidate.
 
 Defined results: a null text is empty; very long texts and texts of very many matches
-are searched whole, in time linear in both; repeated rows are scanned each; an empty
+are searched whole (see ``running_sums`` for the cost of matches); repeated rows are scanned each; an empty
 table gives an empty table. A column of the input that has the name of the result
 is replaced.
 """
