@@ -18,6 +18,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from shelfwise.llm import induced_sort
+from shelfwise.llm import suffix_dedup as suffix_module
 from shelfwise.llm.components import components
 from shelfwise.llm.induced_sort import END, FIRST, STOP, sorted_suffixes
 from shelfwise.llm.jaccard import jaccard_groups
@@ -30,6 +31,7 @@ from shelfwise.llm.sentence_pieces import MODEL
 from shelfwise.llm.suffix_dedup import suffix_dedup
 from shelfwise.llm.trigrams import trigram_query
 from shelfwise.llm.words import NON_ALNUM, WHITE, words_of
+from shelfwise.operators import attach as attach_module
 
 
 def removed_by_hand(texts, length):
@@ -59,6 +61,55 @@ def test_suffix_dedup(spark, crowded):
     assert found == removed_by_hand(texts, 50)
 
 
+@pytest.mark.parametrize("kind", ["long", "string"])
+def test_suffix_dedup_of_a_passage_among_other_neighbours(spark, kind):
+    """Each window of the passage has one row a document, and is dealt out."""
+    draw = random.Random(6)
+    passage = "".join(draw.choice("abcdefgh ") for _ in range(60))
+    texts = {}
+    for i in range(300):
+        around = ["".join(draw.choice("klmnopq é") for _ in range(80)) for _ in range(2)]
+        texts[i] = around[0] + (passage if i % 3 == 1 else "") + around[1]
+    if kind == "string":
+        texts = {f"é{i}": text for i, text in texts.items()}
+    docs = spark.createDataFrame(list(texts.items()), f"doc_id {kind}, text string").repartition(5)
+    found = {r["doc_id"]: bytes(r["repeats"]["kept"]) for r in suffix_dedup(docs, crowded=10).collect()}
+    assert found == removed_by_hand(texts, 50)
+    assert sum(len(text.encode()) - len(found[i]) for i, text in texts.items()) >= 99 * len(passage)
+
+
+def test_rows_of_windows_are_dealt_out(spark, monkeypatch):
+    """A passage in a third of the documents: no task of the join of windows has over three times the median."""
+    asked = []
+
+    def counted(table, lookup, key, how="left", skew=attach_module.DEFAULT_SKEW, hot=None):
+        joined = attach_module.attach(table, lookup, key, how, skew, hot)
+        if key == "window":
+            asked.append([r["count"] for r in joined.groupBy(F.spark_partition_id().alias("task")).count().collect()])
+        return joined
+
+    monkeypatch.setattr(suffix_module, "attach", counted)
+    draw = random.Random(7)
+    passage = "".join(draw.choice("abcdefgh ") for _ in range(60))
+    texts = []
+    for i in range(3000):
+        around = ["".join(draw.choice("klmnopq ") for _ in range(60)) for _ in range(2)]
+        texts.append((i, around[0] + (passage if i % 3 == 0 else "") + around[1]))
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(5)
+    with_fixed_parts = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "16"}
+    before = {name: spark.conf.get(name, None) for name in with_fixed_parts}
+    try:
+        for name, value in with_fixed_parts.items():
+            spark.conf.set(name, value)
+        removed = suffix_dedup(docs, crowded=200).agg(F.sum("repeats.n_removed")).first()[0]
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+    assert removed >= 999 * len(passage)  # neighbours that happen to be equal go too
+    (rows,) = asked
+    assert len(rows) == 16 and max(rows) <= 3 * sorted(rows)[8]
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.text("ab", max_size=40).map(str.encode), max_size=5), st.integers(2, 50), st.sampled_from([40, 1 << 20]), st.sampled_from([3, 1 << 17]))
 def test_induced_order(strings, depth, bound, chunk):
