@@ -1,9 +1,8 @@
 """Byte-pair pieces of a SentencePiece model, found through a suffix array.
 
 The distinct words of a batch are concatenated and indexed by a suffix array. A
-binary search gives each piece its range of suffixes, which is all its occurrences;
-as edges, sorted by position, they say which piece any stretch of text is. The
-words are then relaxed: as long as two neighbouring stretches of a word make a
+binary search gives each piece its range of suffixes, which is all its occurrences:
+edges that say which piece any stretch of text is. The words are then relaxed: as long as two neighbouring stretches of a word make a
 piece, the pair of the best score (the leftmost of equal ones) becomes one stretch.
 What is no piece at the end falls back to bytes.
 """
@@ -23,6 +22,23 @@ LONG_WORD = 256
 _NONE = np.int32(-1)
 
 
+def _suffix_order(keys: np.ndarray, width: int) -> np.ndarray:
+    """The order of all suffixes by their first ``width`` keys of ``PACK`` characters, by
+    doubling: the ranks of a suffix and of the one where its known part ends are one key.
+    Keys beyond the text are 0, as is the last one."""
+    known = 1
+    while True:
+        order = np.argsort(keys)
+        if known >= width:
+            return order
+        ordered = keys[order]
+        ranks = np.empty(len(keys), np.uint64)
+        ranks[order] = np.cumsum(np.concatenate([[0], ordered[1:] != ordered[:-1]]))
+        keys = ranks << np.uint64(32)
+        keys[: -PACK * known] |= ranks[PACK * known :]
+        known *= 2
+
+
 class PieceModel:
     """Pieces, scores and byte pieces; plain data that is shipped to the tasks."""
 
@@ -86,7 +102,7 @@ class PieceModel:
         padded = np.concatenate([codes, np.zeros(self.keys * PACK, np.uint64)])
         packed = sum(padded[j : len(padded) - PACK + 1 + j] << np.uint64(16 * (PACK - 1 - j)) for j in range(PACK))
         suffixes = [packed[PACK * k : PACK * k + n] for k in range(self.keys)]
-        order = np.lexsort(suffixes[::-1])
+        order = _suffix_order(suffixes[0], self.keys)
         ordered = [s[order] for s in suffixes]
 
         def search(wanted: list[np.ndarray], right: bool) -> np.ndarray:
@@ -108,27 +124,26 @@ class PieceModel:
         piece = np.repeat(np.arange(len(sizes)), sizes)
         rank = np.repeat(first, sizes) + np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         place = order[rank]
-        by_place = np.argsort(place, kind="stable")
-        place, piece = place[by_place], piece[by_place]
         table = np.full((n + 1, self.longest), _NONE, np.int32)
         table[place, self.lengths[piece] - 1] = piece
         return table
 
-    def encode_words(self, words: list[str]) -> list[np.ndarray]:
-        """Ids of each word. A word is what stands between spaces, its own spaces
-        (all in front) written as ``SPACE``."""
-        out: list[np.ndarray] = []
+    def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words, and how many each has. A word is what stands between
+        spaces, its own spaces (all in front) written as ``SPACE``."""
+        out = [(np.zeros(0, np.int32), np.zeros(0, np.int64))]
         first = 0
         while first < len(words):
             last, held = first, 0
             while last < len(words) and (last == first or held + len(words[last]) <= SUB_BATCH_CHARS):
                 held += len(words[last]) + 1
                 last += 1
-            out += self._encode(words[first:last])
+            out.append(self._encode(words[first:last]))
             first = last
-        return out
+        ids, counts = (np.concatenate(p) for p in zip(*out, strict=True))
+        return ids, counts
 
-    def _encode(self, words: list[str]) -> list[np.ndarray]:
+    def _encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         sizes = np.array([len(w) for w in words])
         starts = np.cumsum(sizes + 1) - (sizes + 1)
         text = "".join(words)
@@ -145,23 +160,20 @@ class PieceModel:
             stretches = np.array(self._relax_long(table, int(starts[k]), int(sizes[k])))
             parts.append((np.full(len(stretches), k), stretches[:, 0], stretches[:, 1]))
         owner, begin, end = (np.concatenate(p) for p in zip(*parts, strict=True))
-        by_place = np.argsort(begin, kind="stable")
+        by_place = np.argsort(begin)
         owner, begin, end = owner[by_place], begin[by_place], end[by_place]
         piece = table[begin, end - begin - 1]
+        ids, sizes = self.ids[piece], np.ones(len(piece), np.int64)
         missing = np.flatnonzero(piece < 0)
-        if not len(missing):
-            ids, counts = self.ids[piece], np.bincount(owner, minlength=len(words))
-            return np.split(ids, np.cumsum(counts)[:-1])
-        # characters that are no piece: as bytes
-        flat: list[list[int]] = [[] for _ in words]
-        char_at = np.zeros(len(codes), np.int64)
-        char_at[places] = np.arange(len(text))
-        for o, b, p in zip(owner.tolist(), begin.tolist(), piece.tolist(), strict=True):
-            if p >= 0:
-                flat[o].append(int(self.ids[p]))
-            else:
-                flat[o] += self.byte_ids[list(text[char_at[b]].encode("utf-8", "replace"))].tolist()
-        return [np.array(f, np.int32) for f in flat]
+        if len(missing):
+            # characters that are no piece: as bytes
+            char_at = np.zeros(len(codes), np.int64)
+            char_at[places] = np.arange(len(text))
+            spelt = [text[k].encode("utf-8", "replace") for k in char_at[begin[missing]].tolist()]
+            sizes[missing] = [len(b) for b in spelt]
+            ids = np.repeat(ids, sizes)
+            ids[np.repeat(piece < 0, sizes)] = self.byte_ids[np.frombuffer(b"".join(spelt), np.uint8)]
+        return ids, np.bincount(np.repeat(owner, sizes), minlength=len(words))
 
     def _rank(self, table: np.ndarray, begin: np.ndarray, length: np.ndarray) -> np.ndarray:
         """The rank of the piece there; a very large number if there is none."""
@@ -235,10 +247,10 @@ class Encoder:
 
     def _learn(self, words: Iterable[str]) -> None:
         new = list(words)
-        found = self.model.encode_words([self._written(w) for w in new])
+        found, counts = self.model.encode_words([self._written(w) for w in new])
         self.number.update(zip(new, range(len(self.number), len(self.number) + len(new)), strict=True))
-        self.flat = np.concatenate([self.flat, *found])
-        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum([len(f) for f in found])])
+        self.flat = np.concatenate([self.flat, found])
+        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(counts)])
 
     @staticmethod
     def _written(word: str) -> str:
@@ -267,10 +279,10 @@ class Encoder:
         """All ids, and the offsets of the texts in them."""
         parts = [self._words(t) for t in texts]
         flat = [w for p in parts for w in p]
-        missing = dict.fromkeys(w for w in flat if w not in self.number)
+        missing = [w for w in dict.fromkeys(flat) if w not in self.number]
         if missing and len(self.number) + len(missing) > self.remember:
             self._clear()
-            missing = dict.fromkeys(flat)
+            missing = list(dict.fromkeys(flat))
         if missing:
             self._learn(missing)
         index = np.fromiter(map(self.number.__getitem__, flat), np.int64, len(flat))
