@@ -62,15 +62,16 @@ def impute_number(
     """``number`` as a float, plus copies filled with the mean and the median.
 
     ``df`` is read twice in all: to count its values, when this is called, and to
-    fill the gaps. The fill values enter as a scalar subquery over the counts, without a join.
+    fill the gaps. The two fill values come to the driver and enter as literals, so the result
+    reads ``df`` alone.
     """
-    fills = fill_values(df, number).scalar()
+    fills = fill_values(df, number).first()["fills"]
     as_float = to_float(number)
     return df.withColumns(
         {
             number: as_float,
-            mean_name: fill_if_missing(as_float, fills.getField("mean")),
-            median_name: fill_if_missing(as_float, fills.getField("median")),
+            mean_name: fill_if_missing(as_float, F.lit(fills["mean"])),
+            median_name: fill_if_missing(as_float, F.lit(fills["median"])),
         }
     )
 

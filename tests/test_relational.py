@@ -185,6 +185,13 @@ def test_imputing_reads_a_table_twice(spark):
     assert reads(spark, lambda table: median(table, "price").first()) == 2000
 
 
+def test_imputed_rows_come_from_the_table_alone(spark):
+    items = spark.createDataFrame([(1.0,), (5.0,), (None,), (float("inf"),)], "price double")
+    filled = impute_number(items).select("meanImputedPrice", "medianImputedPrice")
+    assert "Scan parquet" not in plan(filled) and "Subquery" not in plan(filled)
+    assert rows(filled) == [(1.0, 1.0), (5.0, 5.0), (math.inf, 5.0), (math.inf, math.inf)]
+
+
 def test_median_of_doubles_in_a_narrow_range(spark):
     prices = spark.range(0, 300_001, 1, 6).selectExpr("1 + (id * 7919 % 300001) * 1e-12 as price")
     assert median(prices, "price").first()["median"] == 1 + 150_000 * 1e-12
