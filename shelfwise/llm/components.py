@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.sources.shared import written
+from shelfwise.sources.shared import dropped, written
 
 
 
@@ -16,16 +16,19 @@ def components(edges: DataFrame) -> DataFrame:
     Every round each node hangs its larger neighbours, then its smaller ones, on
     the least node that it knows (large and small stars), until nothing changes.
     The grouping keeps a minimum per node only, so that a node with very many
-    neighbours is no large group. Each round is written to the shared folder.
+    neighbours is no large group. Each round is written to the shared folder, and the one before goes.
     """
     edges = written(_ordered(edges), "edges")
     mark, before = _mark(edges), None
     while mark != before:
-        edges = written(_small_star(_large_star(edges)), "edges")
+        last, edges = edges, written(_small_star(_large_star(edges)), "edges")
+        dropped(last)
         mark, before = _mark(edges), mark
     children = edges.select(F.col("b").alias("node"), F.col("a").alias("component"))
     roots = edges.select(F.col("a").alias("node"), F.col("a").alias("component"))
-    return written(children.unionByName(roots).groupBy("node").agg(F.min("component").alias("component")), "components")
+    found = written(children.unionByName(roots).groupBy("node").agg(F.min("component").alias("component")), "components")
+    dropped(edges)
+    return found
 
 
 def _mark(edges: DataFrame) -> tuple:

@@ -4,7 +4,7 @@
 A place on which two sketches differ was touched by a shingle that only one set
 has, so the number of differing places (the Hamming distance) never exceeds the
 symmetric difference. Places are single bits in the short sketch, and blocks of 64
-bits in the sketch that is joined.
+bits in the sketch that is joined. The wide sketch has one to two bits for each shingle of the set.
 
 **Pigeonhole.** Sets of a and b shingles that share at least P % of their union
 differ in at most ``(100 - P) * (a + b) / (100 + P)`` shingles, so in at most as many
@@ -16,16 +16,17 @@ own and of the band below, wide enough that partners always meet in the band of
 the larger one. It is just large enough that hardly any set needs its zero blocks.
 
 **Pairs.** In each block bucket the sets are paired with the least one of the
-bucket, short sketches reject pairs, and the rest are compared shingle by
-shingle. Sets that are linked by then need no more comparing with each other. Buckets that
+bucket, short sketches reject pairs, and so do wide ones, as short ones are full for sets of more than some
+thousand shingles. The rest are compared shingle by shingle, which reads the texts of these sets only. Sets that are linked by then need no more comparing with each other. Buckets that
 still hold several components pair their members with a hub, the one that is in the most such buckets:
 near copies that are far from each other are all close to what they were made from. Only
 buckets that hold several components after that pair members of different
 components. No link between different components can be lost, and a bucket of n
 alike sets costs n comparisons.
 
-Blocks are dealt with in slices, one after the other, which bounds the disk that their
-buckets need at a time. Nothing else depends on the number of slices.
+Blocks are dealt with in slices, one after the other, and so are texts and the pairs that meet wide sketches,
+which bounds the disk that they need at a time. Nothing else depends on the number of slices. Tables that
+nothing will read any more go at once.
 
 Equal sets (such as exact copies) are one node throughout. Nodes and shingles are
 64-bit hashes.
@@ -59,6 +60,8 @@ from shelfwise.sources.shared import dropped, written
 SHINGLE = 5
 PERCENT = 80
 SLICES = 4
+#: Rows of buckets, and documents, that are worth a slice of their own in a join.
+ROWS_OF_A_JOIN, DOCS_OF_A_JOIN = 2_000_000, 10_000
 #: Rounds in which the members of a bucket are paired with its hub.
 HUB_ROUNDS = 1
 #: 64-bit words of the short sketch of a set.
@@ -131,6 +134,23 @@ def packed(sketch: np.ndarray) -> np.ndarray:
     return np.packbits(sketch).view(np.uint64)
 
 
+def wide_sketch(shingles: np.ndarray) -> bytes:
+    """A parity sketch of as many bits as the least power of 2 that is not below the number of shingles."""
+    bits = max(64 * SHORT, 1 << (len(shingles) - 1).bit_length())
+    spots = mix(shingles ^ _U(0xD6E8FEB86659FD93)) & _U(bits - 1)
+    return np.packbits(np.bincount(spots.astype(np.int64), minlength=bits).astype(np.uint8) & 1).tobytes()
+
+
+def differing(x: bytes, y: bytes) -> int:
+    """On how many bits two wide sketches differ, the larger one folded to the bits of the smaller."""
+    a, b = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+    while len(a) != len(b):
+        if len(a) < len(b):
+            a, b = b, a
+        a = a[: len(a) // 2] ^ a[len(a) // 2 :]
+    return int(np.bitwise_count(a ^ b).sum())
+
+
 def buckets(shingles: np.ndarray, percent: int) -> np.ndarray:
     """A key for each block of the sorted set that is not zero, in the band of its size and the
     next; for zero blocks too where the others are too few."""
@@ -154,14 +174,15 @@ def _texts(batch: pa.RecordBatch, name: str, size: int) -> Iterator[np.ndarray]:
 
 
 def _describe(size: int):
-    """Per text: number of shingles, node and short sketch."""
+    """Per text: number of shingles, node, wide and short sketch."""
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts, nodes, sketches = [], [], []
+            counts, nodes, wide, sketches = [], [], [], []
             for shingles in _texts(batch, "text", size):
                 counts.append(len(shingles))
                 nodes.append(node_of(shingles) if len(shingles) else None)
+                wide.append(wide_sketch(shingles) if len(shingles) else None)
                 sketches.append(packed(parity(shingles, 64 * SHORT)).view(np.int64))
             table = np.array(sketches, np.int64).reshape(-1, SHORT)
             yield pa.RecordBatch.from_arrays(
@@ -170,9 +191,10 @@ def _describe(size: int):
                     batch.column(1),
                     pa.array(counts, pa.int64()),
                     pa.array(nodes, pa.int64()),
+                    pa.array(wide, pa.binary()),
                     *[pa.array(np.ascontiguousarray(table[:, k])) for k in range(SHORT)],
                 ],
-                names=["id", "key", "n", "node", *[f"s{k}" for k in range(SHORT)]],
+                names=["id", "key", "n", "node", "wide", *[f"s{k}" for k in range(SHORT)]],
             )
 
     return describe
@@ -210,6 +232,19 @@ def _emit(size: int, percent: int, part: int, parts: int):
     return emit
 
 
+def _close(percent: int):
+    """The pairs whose wide sketches leave a link possible."""
+
+    def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = [batch.column(batch.schema.names.index(c)) for c in ("x_wide", "y_wide")]
+            apart = [differing(x.as_py(), y.as_py()) for x, y in zip(*columns, strict=True)]
+            together = sum(batch.column(batch.schema.names.index(c)).to_numpy() for c in ("x_n", "y_n"))
+            yield batch.select(["a", "b"]).filter(pa.array(np.array(apart, np.int64) * (100 + percent) <= (100 - percent) * together, pa.bool_()))
+
+    return close
+
+
 def _compare(size: int, percent: int):
     """The pairs whose texts share enough shingles."""
 
@@ -231,9 +266,10 @@ def _compare(size: int, percent: int):
 
 
 def _near(percent: int) -> Column:
-    """Whether the short sketches of a pair, x_ and y_, leave a link possible."""
+    """Whether the sizes and short sketches of a pair, x_ and y_, leave a link possible."""
     apart = [F.bit_count(F.col(f"x_s{k}").bitwiseXOR(F.col(f"y_s{k}"))) for k in range(SHORT)]
-    return reduce(Column.__add__, apart) * (100 + percent) <= (100 - percent) * (F.col("x_n") + F.col("y_n"))
+    sizes = F.least("x_n", "y_n") * 100 >= percent * F.greatest("x_n", "y_n")
+    return sizes & (reduce(Column.__add__, apart) * (100 + percent) <= (100 - percent) * (F.col("x_n") + F.col("y_n")))
 
 
 def _named(df: DataFrame, prefix: str) -> DataFrame:
@@ -260,15 +296,19 @@ def jaccard_groups(
     source = docs.select(F.col(f"`{id}`").alias("id"), F.xxhash64(F.col(f"`{text}`")).alias("key"), F.col(f"`{text}`").alias("text"))
     source = source.withColumn("key", F.when(F.col("text").isNotNull(), F.col("key")))
     kind = source.schema["id"].dataType.simpleString()
-    shape = f"id {kind}, key long, n long, node long, " + ", ".join(f"s{k} long" for k in range(SHORT))
+    shape = f"id {kind}, key long, n long, node long, wide binary, " + ", ".join(f"s{k} long" for k in range(SHORT))
     sets = written(source.mapInArrow(_describe(size), shape), "sets")
+    text_slices = max(1, min(slices, sets.count() // DOCS_OF_A_JOIN))
 
     shared = None
     for part in range(slices):
         members = written(source.select("text").mapInArrow(_emit(size, percent, part, slices), "bucket long, node long"), "members")
-        ends = members.groupBy("bucket").agg(F.min("node").alias("least"), F.max("node").alias("most"))  # combined before the shuffle
-        met = attach(members, ends.where("least < most").select("bucket", "least"), "bucket", "inner").distinct()
-        shared = written(met, "buckets", beside=shared)
+        joins = max(1, min(slices, members.count() // ROWS_OF_A_JOIN))
+        for join in range(joins):
+            some = members.where(F.pmod(F.shiftright("bucket", 8), F.lit(joins)) == join)
+            ends = some.groupBy("bucket").agg(F.min("node").alias("least"), F.max("node").alias("most"))  # combined before the shuffle
+            met = attach(some, ends.where("least < most").select("bucket", "least"), "bucket", "inner").distinct()
+            shared = written(met, "buckets", beside=shared)
         dropped(members)
 
     nodes = sets.where("node is not null").groupBy("node").agg(
@@ -276,45 +316,79 @@ def jaccard_groups(
     )
     crowded = shared.select("node").distinct()
     sketches = written(nodes.join(crowded, "node", "left_semi"), "sketches")
-    texts = written(
-        source.join(
-            sketches.select(F.col("of.key").alias("of_key"), F.col("of.id").alias("of_id"), "node").hint("merge"),
-            F.col("key").eqNullSafe(F.col("of_key")) & F.col("id").eqNullSafe(F.col("of_id")),
-        )
-        .select("node", "text")
-        .dropDuplicates(["node"]),
-        "texts",
-    )
+    wide = written(sets.join(sketches.select("node"), "node", "left_semi").select("node", "n", "wide").dropDuplicates(["node"]), "wide")
+    n_nodes = max(1, sketches.count())
+
+    def close(pairs: DataFrame) -> DataFrame:
+        """Of written pairs those whose wide sketches leave a link possible, written. There can be many more pairs
+        than nodes, so they are dealt with in slices of as many as there are nodes."""
+        x, y = _named(wide, "x_").withColumnRenamed("x_node", "a"), _named(wide, "y_").withColumnRenamed("y_node", "b")
+        found, parts = None, max(1, -(-pairs.count() // n_nodes))
+        for part in range(parts):
+            some = pairs.where(F.pmod(F.xxhash64("a", "b"), F.lit(parts)) == part)
+            met = attach(attach(some, x, "a", "inner"), y, "b", "inner", hot=hot_keys(some, "b"))
+            found = written(met.mapInArrow(_close(percent), "a long, b long"), "close", beside=found)
+        dropped(pairs)
+        return found
+
+    def texts_of(pairs: DataFrame) -> DataFrame:
+        """The texts of all nodes of pairs, written."""
+        wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+        of = written(sketches.join(wanted, "node", "left_semi").select(F.col("of.key").alias("of_key"), F.col("of.id").alias("of_id"), "node"), "wanted")
+        texts = None
+        for part in range(text_slices):
+            rows = source.where(F.pmod("key", F.lit(text_slices)) == part).join(
+                of.where(F.pmod("of_key", F.lit(text_slices)) == part).hint("merge"),
+                F.col("key").eqNullSafe(F.col("of_key")) & F.col("id").eqNullSafe(F.col("of_id")),
+            )
+            texts = written(rows.select("node", "text").dropDuplicates(["node"]), "texts", beside=texts)
+        dropped(of)
+        return texts
 
     def linked(pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b) of nodes that link, written."""
+        """Of written pairs (a, b) of nodes those that link, written."""
+        some = close(pairs)
+        if some.isEmpty():
+            return some
+        texts = texts_of(some)
         a = texts.select(F.col("node").alias("a"), F.col("text").alias("a_text"))
         b = texts.select(F.col("node").alias("b"), F.col("text").alias("b_text"))
-        with_texts = attach(pairs.join(b, "b"), a, "a", "inner", hot=hot_keys(pairs, "a")).select("a", "b", "a_text", "b_text")
-        return written(with_texts.mapInArrow(_compare(size, percent), "a long, b long"), "links")
+        with_texts = attach(some.join(b, "b"), a, "a", "inner", hot=hot_keys(some, "a")).select("a", "b", "a_text", "b_text")
+        links = written(with_texts.mapInArrow(_compare(size, percent), "a long, b long"), "links")
+        for table in (texts, some):
+            dropped(table)
+        return links
 
     def possible(pairs: DataFrame) -> DataFrame:
         """Of written pairs those whose short sketches leave a link possible, written. One node can
         be in very many pairs."""
         x, y = _named(sketches.drop("of"), "x_").withColumnRenamed("x_node", "a"), _named(sketches.drop("of"), "y_").withColumnRenamed("y_node", "b")
         met = attach(attach(pairs, x, "a", "inner"), y, "b", "inner", hot=hot_keys(pairs, "b"))
-        return written(met.where(_near(percent)).select("a", "b"), "possible")
+        found = written(met.where(_near(percent)).select("a", "b"), "possible")
+        dropped(pairs)
+        return found
 
     first = linked(possible(written(shared.where("node > least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct(), "pairs")))
+
     def mixed(links: DataFrame) -> DataFrame:
         """The members, with sketches, of buckets that hold several components, written."""
-        placed = shared.join(components(links), "node", "left").withColumn("component", F.coalesce("component", "node"))
+        of = components(links)
+        placed = shared.join(of, "node", "left").withColumn("component", F.coalesce("component", "node"))
         several = placed.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
-        return written(placed.join(several.select("bucket"), "bucket", "left_semi").join(sketches.drop("of"), "node"), "rest")
+        found = written(placed.join(several.select("bucket"), "bucket", "left_semi").join(sketches.drop("of"), "node"), "rest")
+        dropped(of)
+        return found
 
-    rest = mixed(first)
+    rest, links = mixed(first), [first]
     for _ in range(HUB_ROUNDS):
         degrees = rest.groupBy("node").agg(F.count("*").alias("degree"))
         hubs = rest.select("bucket", "node").join(degrees, "node").groupBy("bucket").agg(F.max(F.struct("degree", "node")).alias("top"))
         spokes = attach(rest.select("bucket", "node"), hubs.select("bucket", F.col("top.node").alias("hub")), "bucket", "inner")
         pairs = spokes.where("node <> hub").select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"))
-        first = first.unionByName(linked(possible(written(pairs.distinct(), "pairs"))))
-        rest = mixed(first)
+        links.append(linked(possible(written(pairs.distinct(), "pairs"))))
+        dropped(rest)
+        rest = mixed(reduce(DataFrame.unionByName, links))
+    dropped(shared)
     met = _named(rest, "x_").join(
         _named(rest, "y_"),
         (F.col("x_bucket") == F.col("y_bucket"))
@@ -323,8 +397,12 @@ def jaccard_groups(
         & (F.col("x_node") != F.col("x_least"))
         & _near(percent),
     )
-    second = linked(written(met.select(F.col("x_node").alias("a"), F.col("y_node").alias("b")).distinct(), "second"))
-    final = components(first.unionByName(second))
+    second = written(met.select(F.col("x_node").alias("a"), F.col("y_node").alias("b")).distinct(), "second")
+    dropped(rest)
+    links.append(linked(second))
+    final = components(reduce(DataFrame.unionByName, links))
+    for table in (sketches, wide, *links):
+        dropped(table)
 
     placed = attach(sets.select("id", "key", "n", "node"), final, "node").withColumn("component", F.coalesce("component", "node"))
     smallest = placed.where("node is not null").groupBy("component").agg(F.min("id").alias("smallest"))
